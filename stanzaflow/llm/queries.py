@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, simhash
+from . import exact, langid, mixing, pii, piece, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,18 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op3_langid(spark, sf_dir):
+    return langid.predict(_table(spark, sf_dir, "documents"))
+
+
+def op4_sentencepiece(spark, sf_dir):
+    return piece.digests(_table(spark, sf_dir, "documents"))
+
+
+def op5_pii(spark, sf_dir):
+    return pii.spans(_table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.mix_plan(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +44,9 @@ def _pipeline(spark, sf_dir):
 def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
+        "op3_langid": op3_langid,
+        "op4_sentencepiece": op4_sentencepiece,
+        "op5_pii": op5_pii,
         "op9_mixing": op9_mixing,
         "op10_exact_dedup": op10_exact_dedup,
         "pipeline": _pipeline,
