@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, langid, mixing, pii, piece, simhash
+from . import ann, exact, langid, mixing, pii, piece, quality, simhash, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,18 @@ def op5_pii(spark, sf_dir):
     return pii.spans(_table(spark, sf_dir, "documents"))
 
 
+def op6_ann(spark, sf_dir):
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op7_urlfilter(spark, sf_dir):
+    return urlfilter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op8_quality(spark, sf_dir):
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.mix_plan(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +59,9 @@ def queries() -> dict:
         "op3_langid": op3_langid,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_pii": op5_pii,
+        "op6_ann": op6_ann,
+        "op7_urlfilter": op7_urlfilter,
+        "op8_quality": op8_quality,
         "op9_mixing": op9_mixing,
         "op10_exact_dedup": op10_exact_dedup,
         "pipeline": _pipeline,
