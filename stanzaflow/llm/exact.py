@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import cut_lineage, whole_text
 
 SALTS = 32
 
@@ -57,6 +57,8 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     groups = groups.withColumn(
         "group_size", F.when(F.col("_texts") > 1, F.raise_error(F.lit("two texts share all digests"))).otherwise(F.col("group_size"))
     )
+    # cut here, so that both sides of the join are plain exchanges and a hot group can be split
+    groups = cut_lineage(groups.drop("_texts"))
     rows = docs.select("doc_id", *key)
     return rows.join(groups, ["_digest", "_sha", "_len"]).select(
         "doc_id",
