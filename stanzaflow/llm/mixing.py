@@ -28,6 +28,8 @@ MAX_EPOCHS = 2
 SEED = "mix"
 #: Hex digits of the key that name its range: 4096 ranges a source.
 RANGE_DIGITS = 3
+#: Up to so many sources the plan (one row of some 100 bytes each) is broadcast; beyond, it is joined by source.
+FEW_SOURCES = 100_000
 
 
 def mix_key(seed: str = SEED) -> Column:
@@ -59,8 +61,12 @@ def targets(sources: DataFrame, weights=WEIGHTS, share=SHARE, epochs=MAX_EPOCHS)
     return t.select("source", "source_size", target.alias("target"))
 
 
-def _cuts(sized: DataFrame, **how) -> DataFrame:
-    """Per source: its sizes, whole epochs, the key of the cut and what the cut's rows give."""
+def _few(plan: DataFrame, sources: int) -> DataFrame:
+    return F.broadcast(plan) if sources <= FEW_SOURCES else plan
+
+
+def _cuts(sized: DataFrame, **how) -> tuple[DataFrame, int]:
+    """The number of sources, and per source: its sizes, whole epochs, the key of the cut and what the cut's rows give."""
     ranges = sized.groupBy("source", "range").agg(F.sum("size").alias("words"))
     ranges = ranges.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("range")))
     ranges = ranges.withColumn("source_size", F.sum("words").over(Window.partitionBy("source")))
@@ -70,25 +76,27 @@ def _cuts(sized: DataFrame, **how) -> DataFrame:
     plan = plan.withColumn("budget", F.floor("target").cast("long"))
     plan = plan.withColumn("epochs", F.when(size > 0, F.expr("budget div nullif(source_size, 0)")).otherwise(0).cast("long"))
     plan = cut_lineage(plan.withColumn("rest", F.col("budget") - F.col("epochs") * size))
+    sources = plan.count()
     r, p = ranges.alias("r"), plan.alias("p")
     hit = r.join(
-        p,
+        _few(p, sources),
         F.col("r.source").eqNullSafe(F.col("p.source"))
         & (F.col("r.upto") - F.col("r.words") < F.col("p.rest"))
         & (F.col("r.upto") >= F.col("p.rest")),
     ).select("r.source", "r.range", (F.col("p.rest") - F.col("r.upto") + F.col("r.words")).alias("rest"))
     # only the rows of the one range a source that holds the cut: about rows / 4096
     inside = sized.alias("s").join(
-        F.broadcast(hit.alias("h")), F.col("s.source").eqNullSafe(F.col("h.source")) & (F.col("s.range") == F.col("h.range"))
+        _few(hit.alias("h"), sources), F.col("s.source").eqNullSafe(F.col("h.source")) & (F.col("s.range") == F.col("h.range"))
     )
     inside = inside.groupBy("s.source", "key", "rest").agg(F.sum("size").alias("block"))
     inside = inside.withColumn("upto", F.sum("block").over(Window.partitionBy("source").orderBy("key")))
     cut = inside.where((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("block") < F.col("rest")))
     cut = cut.select("source", F.col("key").alias("cut"), "block", (F.col("rest") - F.col("upto") + F.col("block")).alias("part"))
     c = cut.alias("c")
-    return p.join(c, F.col("p.source").eqNullSafe(F.col("c.source")), "left").select(
+    plan = p.join(c, F.col("p.source").eqNullSafe(F.col("c.source")), "left").select(
         "p.source", "source_size", "target", "epochs", "cut", "block", "part"
     )
+    return cut_lineage(plan), sources
 
 
 def _taken() -> Column:
@@ -100,9 +108,8 @@ def _taken() -> Column:
     return (F.col("epochs") * F.col("size") + F.coalesce(last, F.lit(0))).cast("long")
 
 
-def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """plan has one row per source; Spark broadcasts it below its size threshold and else joins by source."""
-    plan = plan.withColumnRenamed("source", "_source")
+def _with_plan(rows: DataFrame, plan: DataFrame, sources: int) -> DataFrame:
+    plan = _few(plan.withColumnRenamed("source", "_source"), sources)
     return rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("taken", _taken())
 
 
@@ -114,7 +121,7 @@ def _sized(docs: DataFrame, seed: str) -> DataFrame:
 def mix_plan(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words, repeats counted)."""
     sized = cut_lineage(_sized(docs, seed))
-    return _with_plan(sized, _cuts(sized, **how)).select("doc_id", "size", "source_size", "target", "taken")
+    return _with_plan(sized, *_cuts(sized, **how)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mix_documents(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
@@ -124,10 +131,10 @@ def mix_documents(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     the budget, whitespace between them kept. Documents without words are never
     taken.
     """
-    plan = _cuts(cut_lineage(_sized(docs, seed)), **how)
+    plan, sources = _cuts(cut_lineage(_sized(docs, seed)), **how)
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "doc_id", "source")
     inner = inner.withColumn("size", word_count(F.col("_doc.text"))).withColumn("key", mix_key(seed))
-    rows = _with_plan(inner, plan).where(F.col("taken") > 0)
+    rows = _with_plan(inner, plan, sources).where(F.col("taken") > 0)
     whole = F.expr("taken div size").cast("int")
     rest = (F.col("taken") % F.col("size")).cast("int")
     rows = rows.withColumn("_rest", rest)
