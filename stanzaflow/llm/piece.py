@@ -4,7 +4,7 @@ Encoding keeps an agenda of adjacent symbol pairs that form a piece, taken by
 score, then from the left. Where no piece has a word-start mark after another
 character, no merge crosses the start of a word, nor a character that is in no
 longer piece (digits, line ends), so a text is merged word by word and merged
-words are remembered (up to ``CACHE`` of them a worker).
+words are remembered (about ``CACHE`` of them a worker).
 Characters without a piece become their UTF-8 bytes. In each Arrow batch one text
 in ``CHECK`` is also encoded by the sentencepiece library; if any differs, the
 library encodes the whole batch and ``agrees`` is false for its rows.
@@ -20,6 +20,8 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import sentencepiece
@@ -58,9 +60,9 @@ class Codec:
         merged = "".join(re.escape(x) for x in sorted({x for p in self.ids if len(p) > 1 for x in p} - {SPACE}))
         splits = merged and not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.words = re.compile(f"(?s){SPACE}*[{merged}]+|{SPACE}+|." if splits else r"(?s).+").findall
-        self.seen: dict[str, list[int]] = {}
+        self.seen: dict[str, tuple[int, ...]] = {}
 
-    def merge(self, word: str) -> list[int]:
+    def merge(self, word: str) -> tuple[int, ...]:
         """The agenda holds rank and place of a pair in one number; what has changed meanwhile is passed over."""
         n, rank = len(word), self.rank.get
         symbols: list[str | None] = list(word)
@@ -86,28 +88,37 @@ class Codec:
             if s is not None:
                 i = self.ids.get(s)
                 out += [i] if i is not None else [self.bytes[x] for x in s.encode("utf-8", "surrogatepass")]
-        return out
+        return tuple(out)
 
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        out: list[int] = []
+        words = self.words(SPACE + text.replace(" ", SPACE))
         seen = self.seen
-        for word in self.words(SPACE + text.replace(" ", SPACE)):
-            ids = seen.get(word)
-            if ids is None:
-                ids = self.merge(word)
-                if len(word) <= 64:
-                    if len(seen) >= CACHE:
-                        seen.clear()
-                    seen[word] = ids
-            out += ids
-        return out
+        found = list(map(seen.get, words))
+        if None in found:
+            if len(seen) >= CACHE:
+                seen.clear()
+            for i, ids in enumerate(found):
+                if ids is None:
+                    word = words[i]
+                    if (ids := seen.get(word)) is None:
+                        ids = self.merge(word)
+                        if len(word) <= 64:
+                            seen[word] = ids
+                    found[i] = ids
+        return list(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids) if ids else ""
 
 
+@lru_cache(1)
+def _codec(model: bytes) -> Codec:
+    """One a worker, so that its words are remembered from task to task."""
+    return Codec(model)
+
+
 def _sha(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()
 
@@ -140,7 +151,7 @@ def _run(docs: DataFrame, model: str | None, schema: str, made) -> DataFrame:
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(proto)
+        codec = _codec(proto)
         for whole in batches:
             for at in range(0, len(whole), 64):  # ids of 64 texts are in memory at a time
                 batch = whole.slice(at, 64)
