@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, exact, langid, mixing, pii, piece, quality, simhash, urlfilter
+from . import ann, exact, langid, mixing, pii, piece, quality, simhash, suffix, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix(spark, sf_dir):
+    return suffix.dedup(_table(spark, sf_dir, "documents"))
+
+
 def op3_langid(spark, sf_dir):
     return langid.predict(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def _pipeline(spark, sf_dir):
 def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
+        "op2_suffix": op2_suffix,
         "op3_langid": op3_langid,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_pii": op5_pii,
