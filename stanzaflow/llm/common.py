@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _DEFAULT_DIR = "/tmp/checkpoints/stanzaflow"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -48,12 +49,21 @@ class Scratch:
         atexit.register(self.drop)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
+        """Write and read again. Lineage ends here, so the shuffle files behind ``df`` go at once."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_CLEANUP)
+            else:
+                self.spark.conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
-        """Delete one table, or all; the shuffle files behind it go with Spark's cleaner."""
+        """Delete one table, or all."""
         try:
             jvm = self.spark.sparkContext._jvm
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
