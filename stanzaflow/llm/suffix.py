@@ -4,20 +4,22 @@ A string of ``WINDOW`` bytes (a window) is repeated if it also starts in a
 document with a smaller doc_id. Windows are dealt to shards by an anchor, the
 least hash of the ``ANCHOR``-byte strings inside the window, so equal windows
 always meet; neighbouring windows with one anchor travel together as a piece
-(67 bytes for 18 windows on average).
+(62 bytes for 13 windows on average).
+
+Documents that copy an earlier one whole are found first, by SHA-256. Then:
 
 1. Anchors that only one document has are dropped. Only hashes move, and an
    anchor that many documents of a task share is sent on once.
-2. Pieces of the others are combined by full content to one row with its first
-   document. Where an anchor has one content, that row answers for all windows.
-3. Other contents form shards. A shard's suffix array is built by induced
+2. Pieces of the others go to shards. In a shard, equal pieces are combined;
+   where an anchor has several contents, their suffix array is built by induced
    sorting, its permuted common prefixes tell which suffixes share a window, and
    each run of those gets the first document of all its members.
-4. An anchor with more than ``CROWD`` contents (what stands next to a passage
-   that very many documents quote) is not put in a shard: its windows are
-   grouped one by one, an aggregation with map-side combining.
+3. An anchor of more than ``CROWD`` documents (a passage that very many quote)
+   is not put in a shard: its pieces are combined by an aggregation with map-side
+   combining, and what differs goes to suffix arrays of its own; beyond
+   ``CONTENTS`` different pieces, an aggregation combines their windows too.
 
-Every step compares whole strings; hashes only decide where they meet.
+Steps 2 and 3 compare whole strings; hashes only decide where they meet.
 
 Defined results: a null text is empty; texts shorter than a window lose nothing;
 an empty table gives no rows; rows with a null doc_id lose nothing and remove
@@ -32,21 +34,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, cut_lineage, whole_text
 
 WINDOW = 50
-ANCHOR = 16  # a power of two
+ANCHOR = 24  # few strings of this length stand in two texts by chance
 _ROOM = WINDOW - ANCHOR + 1
 #: Windows of one piece at most.
 _REACH = _ROOM
-#: An anchor with more contents is answered window by window.
-CROWD = 2048
-#: Bytes of text behind one group of anchors, and of contents in one suffix array.
-ANCHOR_SHARD, ARRAY_SHARD = 32 << 20, 4 << 20
-_STEP, _FLUSH = 1 << 18, 1 << 20
+#: An anchor of more documents is not put in a shard.
+CROWD = 256
+#: Of those, one with more different pieces is answered window by window.
+CONTENTS = 1 << 15
+#: Bytes of text behind one group of anchors, which may bring some four times its share of pieces.
+SHARD = 16 << 20
+#: Bytes of contents in one suffix array.
+ARRAY = 2 << 20
+_RUNS = "array<struct<a:int,b:int,first:bigint>>"
+_STEP, _FLUSH = 1 << 16, 1 << 19
 #: Up to so many symbols, induction goes bucket by bucket.
 _BUCKETS = 4096
 _ODD = 0x9E3779B97F4A7C15
@@ -96,7 +104,7 @@ class _Induction:
 
     def run(self, lms: np.ndarray) -> np.ndarray:
         """lms: leftmost rising suffixes; their order within a bucket is taken over."""
-        self.sa = np.full(len(self.t), -1, np.int64)
+        self.sa = np.full(len(self.t), -1, np.int32)
         self.head, self.tail = self.starts.copy(), self.ends.copy()
         of = self.t[lms]
         lms = lms[np.argsort(of, kind="stable")]
@@ -162,7 +170,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     up = _rising(t)
     is_lms = np.zeros(len(t), bool)
     is_lms[1:] = up[1:] & ~up[:-1]
-    lms = np.flatnonzero(is_lms)
+    lms = np.flatnonzero(is_lms).astype(np.int32)
     induction = _Induction(t, up)
     order = induction.run(lms)
     order = order[is_lms[order]]
@@ -181,12 +189,12 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
     Four symbols are compared at a time.
     """
     n = len(t)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
     padded = np.zeros(n + cap + 4, np.uint16)
     padded[:n] = t
     words = np.lib.stride_tricks.sliding_window_view(padded, 4)
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.int32)
     left = np.flatnonzero(before >= 0)
     for k in range(0, cap, 4):
         a = np.ascontiguousarray(words[left + k]).view("<u8")[:, 0]
@@ -212,10 +220,15 @@ def _power(e: int) -> np.uint64:
 
 def _anchors(data: np.ndarray) -> np.ndarray:
     """For each window of the data, its anchor."""
-    h, width = _BYTE[data], 1
-    while width < ANCHOR:
+    h, width, powers = _BYTE[data], 1, []
+    while 2 * width <= ANCHOR:
+        powers.append((width, h))
         h = h[:-width] * _power(width) + h[width:]
         width *= 2
+    for part, x in reversed(powers):
+        if width + part <= ANCHOR:
+            h = h[: len(x) - width] * _power(part) + x[width : width + len(h)]
+            width += part
     h ^= h >> np.uint64(29)
     h *= np.uint64(0x94D049BB133111EB)
     h ^= h >> np.uint64(32)
@@ -276,27 +289,65 @@ def _binary(sizes: np.ndarray, data: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
 
 
+def _key(m: np.ndarray, shards: int) -> np.ndarray:
+    """What is kept of an anchor: its upper half and its shard.
+
+    A shard has about a million anchors at every size, so these let few of them
+    meet another by chance; their contents then differ.
+    """
+    return m >> np.uint64(32) << np.uint64(32) | m % np.uint64(shards)
+
+
+#: Packed columns of an entry. Documents come in planes of 16 bits, of which most are alike.
+_ENTRY = {"upper": np.uint32, "home": np.uint32, "d0": np.uint16, "d1": np.uint16, "d2": np.uint16, "d3": np.uint16}
+_MET = _ENTRY | {"n": np.uint32}
+_CUT = _ENTRY | {"mark": np.int64, "at": np.uint32, "size": np.uint16}
+_CROWDED = np.uint64(1 << 31)
+
+
+def _pack(shard: np.ndarray, kinds: dict, key: np.ndarray, doc: np.ndarray, **more: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict]:
+    """Entries sorted by shard: their order, the numbers of entries of each row, and the row's columns."""
+    order = np.argsort(shard, kind="stable")
+    shard = shard[order]
+    at = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
+    n = np.diff(np.append(at, len(shard)))
+    planes = doc[order].view(np.uint16).reshape(-1, 4)
+    values = {"upper": key[order] >> np.uint64(32), "home": key[order]} | {f"d{i}": planes[:, i] for i in range(4)}
+    values |= {k: v[order] for k, v in more.items()}
+    columns = {"shard": pa.array(shard[at].astype(np.int32))}
+    for k, kind in kinds.items():
+        c = values[k].astype(kind)
+        columns[k] = _binary(n * c.itemsize, c.view(np.uint8))
+    return order, n, columns
+
+
+def _unpack(table: pa.Table, kinds: dict) -> dict:
+    x = {k: np.frombuffer(b"".join(table.column(k).to_pylist()), kind) for k, kind in kinds.items()}
+    x["key"] = x.pop("upper").astype(np.uint64) << np.uint64(32) | x.pop("home")
+    x["doc"] = np.column_stack([x.pop(f"d{i}") for i in range(4)]).view(np.int64)[:, 0]
+    return x
+
+
+def _schema(kinds: dict) -> str:
+    return "shard int, " + ", ".join(f"{k} binary" for k in kinds)
+
+
 def _met(shards: int):
-    """Rows shard, anchor, doc, known (packed): what a task has to say about its anchors."""
+    """What a task has to say about its anchors, packed by shard."""
 
     def packed(anchors: list, docs: list) -> pa.RecordBatch:
-        m, doc = np.concatenate(anchors), np.concatenate(docs)
-        order = np.lexsort((doc, m))
-        m, doc = m[order], doc[order]
-        one = np.concatenate(([True], (m[1:] != m[:-1]) | (doc[1:] != doc[:-1])))
-        m, doc = m[one], doc[one]
-        first = np.concatenate(([True], m[1:] != m[:-1]))
-        many = np.diff(np.append(np.flatnonzero(first), len(m))) > 1
-        known = np.repeat(many, np.diff(np.append(np.flatnonzero(first), len(m))))
-        # the first document speaks for the anchor; the others are known to share it and go anywhere
-        spread = np.where(first, m, doc.astype(np.uint64) * np.uint64(_ODD) >> np.uint64(16))
-        shard = (spread % np.uint64(shards)).astype(np.int32)
-        order = np.argsort(shard, kind="stable")
-        shard, m, doc, known = shard[order], m[order], doc[order], known[order]
-        at = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
-        n = np.diff(np.append(at, len(shard)))
-        columns = [_binary(n * 8, m.view(np.uint8)), _binary(n * 8, doc.view(np.uint8)), _binary(n, known.view(np.uint8))]
-        return pa.RecordBatch.from_arrays([pa.array(shard[at]), *columns], names=["shard", "anchor", "doc", "known"])
+        key, doc = _key(np.concatenate(anchors), shards), np.concatenate(docs)
+        order = np.lexsort((doc, key))
+        key, doc = key[order], doc[order]
+        one = np.concatenate(([True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
+        key, doc = key[one], doc[one]
+        first = np.concatenate(([True], key[1:] != key[:-1]))
+        n = np.diff(np.append(np.flatnonzero(first), len(key)))
+        # the first document speaks for all n; the others (0) are known to share the anchor and go anywhere
+        shard = np.where(first, (key & np.uint64(0xFFFFFFFF)).astype(np.int64), doc % shards)
+        says = np.zeros(len(key), np.int64)
+        says[first] = n
+        return pa.RecordBatch.from_pydict(_pack(shard, _MET, key, doc, n=says)[2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, docs, n = [], [], 0
@@ -317,50 +368,93 @@ def _met(shards: int):
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of one group of anchors: each document and anchor that another document has too."""
-    m, doc, known = (
-        np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
-        for c, kind in (("anchor", np.uint64), ("doc", np.int64), ("known", np.bool_))
-    )
-    order = np.argsort(m, kind="stable")
-    m, doc, known = m[order], doc[order], known[order]
-    at = np.flatnonzero(np.concatenate(([True], m[1:] != m[:-1])))
-    n = np.diff(np.append(at, len(m)))
-    keep = known | np.repeat(np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at), n)
-    return pa.table({"doc_id": pa.array(doc[keep]), "anchor": pa.array(m[keep].view(np.int64))})
-
-
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces under a shared anchor. An anchor that one document of the batch shares, all that have it share."""
-    for batch in batches:
-        wanted = np.unique(batch.column("anchors").flatten().to_numpy(zero_copy_only=False).view(np.uint64))
-        ids, marks = batch.column("doc_id").to_numpy(), batch.column("mark").to_numpy()
-        for data, ends, owner, offset in _blocks(batch.column("text").to_pylist()):
-            start, count, m = pieces(data, ends)
-            place = np.minimum(np.searchsorted(wanted, m), len(wanted) - 1)
-            keep = wanted[place] == m
-            start, count, m = start[keep], count[keep], m[keep]
-            segment = np.searchsorted(ends, start, "right")
-            row = owner[segment]
-            at = start - np.concatenate(([0], ends))[segment] + offset[segment]
-            size = count + WINDOW - 1
-            took = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[row]), pa.array(marks[row]), pa.array(at), pa.array(m.view(np.int64)), _binary(size, data[took])],
-                names=["doc_id", "mark", "at", "anchor", "piece"],
-            )
+    """Of one shard: each document and anchor that another document has too, and whether a crowd has it."""
+    x = _unpack(table, _MET)
+    order = np.argsort(x["key"], kind="stable")
+    key, doc, said = (x[k][order] for k in ("key", "doc", "n"))
+    at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    n = np.diff(np.append(at, len(key)))
+    several = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
+    keep = (said != 1) | np.repeat(several, n)
+    crowd = np.repeat(np.add.reduceat(said.astype(np.int64), at) > CROWD, n)
+    return pa.table({"doc_id": pa.array(doc[keep]), "anchor": pa.array(key[keep].view(np.int64)), "crowd": pa.array(crowd[keep])})
 
 
-_RUNS = "array<struct<a:int,b:int,first:bigint>>"
+_CROWD_COLUMNS = {"doc_id": pa.int64(), "mark": pa.int64(), "at": pa.int64(), "anchor": pa.int64(), "piece": pa.binary()}
+_PIECES = {"shard": pa.int32()} | {f"p_{k}": pa.binary() for k in [*_CUT, "data"]} | _CROWD_COLUMNS
 
 
-def _array_runs(table: pa.Table) -> pa.Table:
-    """One shard of contents: for each, its runs of windows that have an earlier document than the content's last one."""
-    piece = table.column("piece").combine_chunks()
-    first, last = table.column("first").to_numpy(), table.column("last").to_numpy()
-    size = np.array([len(x) for x in piece.to_pylist()], np.int64)
-    data = np.frombuffer(b"".join(piece.to_pylist()), np.uint8)
-    # symbols: 0 ends the shard, 1 a content, 2 to 257 are bytes
+def _cut_out(shards: int):
+    """Pieces under a shared anchor: packed by shard, or one a row under an anchor of a crowd.
+
+    An anchor that one document of the batch shares, all that have it share.
+    """
+
+    def rows(columns: dict) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([columns.get(k, pa.nulls(n, t)) for k, t in _PIECES.items()], names=list(_PIECES))
+
+    def packed(held: list) -> Iterator[pa.RecordBatch]:
+        key, doc, mark, at, size = (np.concatenate([h[i] for h in held]) for i in range(5))
+        data = np.concatenate([h[5] for h in held])
+        begin = np.cumsum(size) - size
+        crowd = (key & _CROWDED) != 0
+        key = key & ~_CROWDED
+        for chosen, alone in ((np.flatnonzero(~crowd), False), (np.flatnonzero(crowd), True)):
+            if not len(chosen):
+                continue
+            if not alone:
+                chosen = chosen[np.lexsort((doc[chosen], key[chosen]))]
+                shard = (key[chosen] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                order, n, columns = _pack(shard, _CUT, key[chosen], doc[chosen], mark=mark[chosen], at=at[chosen], size=size[chosen])
+                chosen = chosen[order]
+            length = size[chosen]
+            took = np.repeat(begin[chosen] - np.cumsum(length) + length, length) + np.arange(length.sum())
+            if alone:
+                one = [doc[chosen], mark[chosen], at[chosen], key[chosen].view(np.int64)]
+                yield rows(dict(zip(_CROWD_COLUMNS, [*map(pa.array, one), _binary(length, data[took])], strict=True)))
+            else:
+                text, upto = data[took], [0, *np.cumsum(length)[np.cumsum(n) - 1].tolist()]
+                press = zstandard.ZstdCompressor(level=1).compress
+                columns["data"] = pa.array([press(text[a:b]) for a, b in zip(upto[:-1], upto[1:], strict=True)], pa.binary())
+                yield rows({k if k == "shard" else f"p_{k}": v for k, v in columns.items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            told = np.unique(batch.column("anchors").flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+            wanted = told & ~_CROWDED
+            order = np.argsort(wanted, kind="stable")
+            told, wanted = told[order], wanted[order]
+            ids, marks = batch.column("doc_id").to_numpy(), batch.column("mark").to_numpy()
+            for data, ends, owner, offset in _blocks(batch.column("text").to_pylist()):
+                start, count, m = pieces(data, ends)
+                m = _key(m, shards)
+                place = np.minimum(np.searchsorted(wanted, m), len(wanted) - 1)
+                keep = wanted[place] == m
+                start, count, place = start[keep], count[keep], place[keep]
+                segment = np.searchsorted(ends, start, "right")
+                row = owner[segment]
+                at = start - np.concatenate(([0], ends))[segment] + offset[segment]
+                size = count + WINDOW - 1
+                took = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+                held.append((told[place], ids[row], marks[row], at, size, data[took]))
+                n += len(start)
+                if n >= _FLUSH // 2:
+                    yield from packed(held)
+                    held, n = [], 0
+        if n:
+            yield from packed(held)
+
+    return run
+
+
+def _array_runs(contents: pa.Array, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows in some contents: content, first window, end, and the first document that has these windows."""
+    texts = contents.to_pylist()
+    size = np.array([len(x) for x in texts], np.int64)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    # symbols: 0 ends the array, 1 a content, 2 to 257 are bytes
     begin = np.cumsum(size + 1) - size - 1
     t = np.ones(len(data) + len(size) + 1, np.int16)
     t[-1] = 0
@@ -378,21 +472,68 @@ def _array_runs(table: pa.Table) -> pa.Table:
     known[sa] = np.repeat(least, np.diff(np.append(fresh, len(sa))))
     at = np.flatnonzero(room)
     own = owner[at]
-    new = np.concatenate(([True], (own[1:] != own[:-1]) | (known[at[1:]] != known[at[:-1]])))
-    runs = np.flatnonzero(new)
+    runs = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (known[at[1:]] != known[at[:-1]]))))
     a = at[runs] - begin[own[runs]]
-    b = a + np.diff(np.append(runs, len(at)))
-    told, who = known[at[runs]], own[runs]
-    keep = told < last[who]
-    a, b, told, who = a[keep], b[keep], told[keep], who[keep]
-    kept, n = np.unique(who, return_counts=True)
-    values = pa.StructArray.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(told)], ["a", "b", "first"])
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), values)
-    return pa.table({"anchor": table.column("anchor").take(pa.array(kept)), "piece": piece.take(pa.array(kept)), "runs": lists})
-
-
-def _crowd_runs(contents: DataFrame) -> DataFrame:
-    """The same for contents of crowded anchors, by one aggregation over their windows."""
+    return own[runs], a, a + np.diff(np.append(runs, len(at))), known[at[runs]]
+
+
+def _in_shard(table: pa.Table) -> pa.Table:
+    """Of one shard: the byte ranges of each document that an earlier one has."""
+    table = table.rename_columns([c.removeprefix("p_") for c in table.column_names])
+    x = _unpack(table, _CUT)
+    unpress = zstandard.ZstdDecompressor().decompress
+    data = np.frombuffer(b"".join(map(unpress, table.column("data").to_pylist())), np.uint8)
+    coded = _binary(x["size"].astype(np.int64), data).dictionary_encode()
+    code, contents = coded.indices.to_numpy(), coded.dictionary
+    order = np.argsort(code, kind="stable")
+    at = np.flatnonzero(np.concatenate(([True], np.diff(code[order]) != 0)))
+    first, last = np.minimum.reduceat(x["doc"][order], at), np.maximum.reduceat(x["doc"][order], at)
+    key, size = x["key"][order[at]], x["size"][order[at]].astype(np.int64)
+    by_key = np.argsort(key, kind="stable")
+    at = np.flatnonzero(np.concatenate(([True], key[by_key[1:]] != key[by_key[:-1]])))
+    several = np.repeat(np.diff(np.append(at, len(key))) > 1, np.diff(np.append(at, len(key))))
+    alone = by_key[~several]
+    runs = [(alone, np.zeros(len(alone), np.int64), size[alone] - (WINDOW - 1), first[alone])]
+    mixed = by_key[several]
+    # arrays of about ARRAY bytes; the contents of an anchor stay together
+    part = np.cumsum(size[mixed]) // ARRAY
+    fresh = np.concatenate(([True], key[mixed[1:]] != key[mixed[:-1]])) if len(mixed) else np.zeros(0, bool)
+    part = np.maximum.accumulate(np.where(fresh, part, 0)) if len(mixed) else part
+    for members in np.split(mixed, np.flatnonzero(np.diff(part)) + 1) if len(mixed) else []:
+        own, a, b, told = _array_runs(contents.take(pa.array(members)), first[members])
+        runs.append((members[own], a, b, told))
+    own, a, b, told = (np.concatenate([r[i] for r in runs]) for i in range(4))
+    keep = np.flatnonzero(told < last[own])
+    keep = keep[np.argsort(own[keep], kind="stable")]
+    own, a, b, told = own[keep], a[keep], b[keep], told[keep]
+    n = np.bincount(own, minlength=len(size))
+    begin = np.cumsum(n) - n
+    row = np.repeat(np.arange(len(code)), n[code])
+    run = np.repeat(begin[code] - np.cumsum(n[code]) + n[code], n[code]) + np.arange(len(row))
+    hit = told[run] < x["doc"][row]
+    row, run = row[hit], run[hit]
+    start = x["at"][row].astype(np.int64)
+    out = {"doc_id": x["doc"][row], "mark": x["mark"][row], "start": start + a[run], "end": start + b[run] + (WINDOW - 1)}
+    return pa.table({k: pa.array(v) for k, v in out.items()})
+
+
+_SPAN = "doc_id long, mark long, start long, end long"
+
+
+def _content_runs(table: pa.Table) -> pa.Table:
+    """Of some contents of crowds: their runs of windows that have an earlier document than the content's last one."""
+    contents, last = table.column("piece").combine_chunks(), table.column("last").to_numpy()
+    own, a, b, told = _array_runs(contents, table.column("first").to_numpy())
+    keep = told < last[own]
+    own, a, b, told = own[keep], a[keep], b[keep], told[keep]
+    kept, n = np.unique(own, return_counts=True)
+    each = pa.StructArray.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(told)], ["a", "b", "first"])
+    runs = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), each)
+    return pa.table({"anchor": table.column("anchor").take(pa.array(kept)), "piece": contents.take(pa.array(kept)), "runs": runs})
+
+
+def _window_runs(contents: DataFrame) -> DataFrame:
+    """The same by one aggregation over all windows, for anchors with more contents than an array should hold."""
     where = F.sequence(F.lit(0), F.octet_length("piece") - WINDOW)
     each = contents.select("anchor", "piece", "first", "last", F.explode(where).alias("a"))
     each = each.withColumn("window", F.expr(f"substring(piece, a + 1, {WINDOW})"))
@@ -402,6 +543,25 @@ def _crowd_runs(contents: DataFrame) -> DataFrame:
     return told.groupBy("anchor", "piece").agg(F.collect_list(run).cast(_RUNS).alias("runs"))
 
 
+def _crowd_spans(refs: DataFrame) -> DataFrame:
+    """What ``_in_shard`` finds, under the anchors of crowds: their pieces are combined before anything gathers."""
+    contents = refs.groupBy("anchor", "piece").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    contents = cut_lineage(contents)
+    several = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    contents = contents.join(several, "anchor")
+    one = F.struct(F.lit(0).alias("a"), (F.octet_length("piece") - (WINDOW - 1)).alias("b"), "first")
+    alone = contents.where("n = 1 and first < last").select("anchor", "piece", F.array(one).cast(_RUNS).alias("runs"))
+    mixed = contents.where((F.col("n") > 1) & (F.col("n") <= CONTENTS))
+    size = mixed.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
+    mixed = mixed.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-size // ARRAY)))))
+    told = mixed.select("shard", "anchor", "piece", "first", "last").groupBy("shard")
+    told = told.applyInArrow(_content_runs, f"anchor long, piece binary, runs {_RUNS}")
+    told = told.unionByName(alone).unionByName(_window_runs(contents.where(F.col("n") > CONTENTS)))
+    hit = refs.join(told, ["anchor", "piece"])
+    hit = hit.select("doc_id", "mark", "at", F.explode(F.filter("runs", lambda r: r["first"] < F.col("doc_id"))).alias("r"))
+    return hit.select("doc_id", "mark", (F.col("at") + F.col("r.a")).alias("start"), (F.col("at") + F.col("r.b") + (WINDOW - 1)).alias("end"))
+
+
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -424,41 +584,43 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """Rows (doc_id, mark, size) of which an earlier document has the whole text, found by SHA-256."""
+    whole = rows.select("doc_id", F.xxhash64("text").alias("mark"), F.octet_length("text").alias("size"), F.unhex(F.sha2("text", 256)).alias("sha"))
+    first = whole.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    return cut_lineage(whole.join(first.select("sha", "first"), "sha").where("doc_id > first").select("doc_id", "mark", "size"))
+
+
 def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Columns doc_id, mark (hash of the text), start, end: byte ranges to remove, overlapping ones included."""
     rows = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW))
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    met = rows.mapInArrow(_met(max(1, -(-total // ANCHOR_SHARD))), "shard int, anchor binary, doc binary, known binary")
-    pairs = met.groupBy("shard").applyInArrow(_shared, "doc_id long, anchor long")
-    wanted = pairs.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
-    found = rows.withColumn("mark", F.xxhash64("text")).join(wanted, "doc_id").select("doc_id", "mark", "text", "anchors")
-    refs = scratch.save(found.mapInArrow(_cut_out, "doc_id long, mark long, at long, anchor long, piece binary"), "pieces")
-    contents = refs.groupBy("anchor", "piece").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    contents = scratch.save(contents, "contents")
-    crowd = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    contents = contents.join(crowd, "anchor")
-    alone = contents.where("n = 1 and first < last").withColumn(
-        "runs", F.array(F.struct(F.lit(0).alias("a"), (F.octet_length("piece") - (WINDOW - 1)).alias("b"), "first")).cast(_RUNS)
-    )
-    mixed = contents.where((F.col("n") > 1) & (F.col("n") <= CROWD))
-    size = mixed.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
-    mixed = mixed.withColumn("shard", F.pmod("anchor", F.lit(max(1, -(-size // ARRAY_SHARD)))))
-    mixed = mixed.select("shard", "anchor", "piece", "first", "last").groupBy("shard")
-    told = mixed.applyInArrow(_array_runs, f"anchor long, piece binary, runs {_RUNS}")
-    told = told.unionByName(alone.select("anchor", "piece", "runs")).unionByName(_crowd_runs(contents.where(F.col("n") > CROWD)))
-    told = scratch.save(told, "runs")
-    hit = refs.join(told, ["anchor", "piece"])
-    hit = hit.select("doc_id", "mark", "at", F.explode(F.filter("runs", lambda r: r["first"] < F.col("doc_id"))).alias("r"))
-    return hit.select("doc_id", "mark", (F.col("at") + F.col("r.a")).alias("start"), (F.col("at") + F.col("r.b") + (WINDOW - 1)).alias("end"))
+    shards = max(1, -(-total // SHARD))
+    pairs = rows.mapInArrow(_met(shards), _schema(_MET)).groupBy("shard").applyInArrow(_shared, "doc_id long, anchor long, crowd boolean")
+    pairs = scratch.save(pairs, "anchors")
+    crowd = pairs.where("crowd").select("anchor", F.lit(_CROWDED.item()).alias("flag")).distinct()
+    told = F.col("anchor").bitwiseOR(F.coalesce("flag", F.lit(0).cast("long")))
+    wanted = pairs.join(crowd, "anchor", "left").groupBy("doc_id").agg(F.collect_list(told).alias("anchors"))
+    copies = _copies(rows)
+    # a copy loses all and adds nothing to what its earliest twin says
+    found = rows.withColumn("mark", F.xxhash64("text")).join(wanted, "doc_id")
+    found = found.join(copies, ["doc_id", "mark"], "left_anti").select("doc_id", "mark", "text", "anchors")
+    kinds = ", ".join(f"{k} {'int' if t == pa.int32() else 'long' if t == pa.int64() else 'binary'}" for k, t in _PIECES.items())
+    cut = scratch.save(found.mapInArrow(_cut_out(shards), kinds), "pieces")
+    scratch.drop("anchors")
+    packed = cut.where("shard is not null").select("shard", *[c for c in _PIECES if c.startswith("p_")])
+    spans = packed.groupBy("shard").applyInArrow(_in_shard, _SPAN)
+    spans = spans.unionByName(_crowd_spans(cut.where("shard is null").select(*_CROWD_COLUMNS)))
+    return spans.unionByName(copies.distinct().select("doc_id", "mark", F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("end")))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     scratch = Scratch(docs.sparkSession)
     spans = repeated_spans(docs, scratch)
-    spans = cut_lineage(spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
-    scratch.drop()
+    spans = scratch.save(spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    scratch.drop("pieces")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("text"))
     rows = rows.withColumn("mark", F.xxhash64("text")).join(spans, ["doc_id", "mark"], "left").select("doc_id", "text", "spans")
     return rows.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

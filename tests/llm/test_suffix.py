@@ -80,9 +80,10 @@ def corpus(seed, n=120):
     return rows
 
 
-@pytest.mark.parametrize("crowd", [2048, 1])
-def test_against_brute_force(spark, monkeypatch, crowd):
+@pytest.mark.parametrize(("crowd", "contents"), [(2048, 1 << 15), (1, 1 << 15), (1, 2)])
+def test_against_brute_force(spark, monkeypatch, crowd, contents):
     monkeypatch.setattr(suffix, "CROWD", crowd)
+    monkeypatch.setattr(suffix, "CONTENTS", contents)
     rows = corpus(3) + [(500, None), (501, ""), (502, "x" * 49), (503, "x" * 50), (504, "x" * 50), (None, "x" * 70)]
     rows += [rows[0], (rows[1][0], "other " + rows[2][1]), (600, rows[5][1]), (601, rows[5][1])]
     docs = spark.createDataFrame([(d, t, "a") for d, t in rows], "doc_id long, text string, spans string")
@@ -90,8 +91,8 @@ def test_against_brute_force(spark, monkeypatch, crowd):
 
 
 def test_small_shards_and_long_texts(spark, monkeypatch):
-    monkeypatch.setattr(suffix, "ANCHOR_SHARD", 500)
-    monkeypatch.setattr(suffix, "ARRAY_SHARD", 300)
+    monkeypatch.setattr(suffix, "SHARD", 500)
+    monkeypatch.setattr(suffix, "ARRAY", 300)
     rows = corpus(4, 60)
     rows += [(1000, " ".join(t for _, t in rows)), (1001, "ab" * 3000), (1002, "b" + "ab" * 2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
