@@ -65,7 +65,8 @@ def grams(text: str) -> tuple[np.ndarray, int]:
         keep = np.ones(len(x), bool)
         keep[1:] = (x[1:] != 32) | (x[:-1] != 32)
         x = x[keep]
-        for h in (_hash(x[1:]), _hash(x[:-1], x[1:]), _hash(x[:-2], x[1:-1], x[2:])):
+        k = len(last)  # what came before is counted already
+        for h in (_hash(x[k:]), _hash(x[k - 1 : -1], x[k:]), _hash(x[:-2], x[1:-1], x[2:])):
             counts += np.bincount(h, minlength=BUCKETS)
         last = x[-2:]
     return counts, n

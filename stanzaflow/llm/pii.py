@@ -132,9 +132,10 @@ _NAME = "|".join(sorted(map(re.escape, _DIGITS), key=len, reverse=True))
 _DOT = r"(?:dot|punto|punkt|point)"
 _WORDS = rf"(?:(?:double|triple)[ -])?(?:{_NAME})"
 _BETWEEN = rf"(?:[ \t,-]{{1,3}}|[ \t]*(?:\.|[(\[{{<][ \t]*{_DOT}[ \t]*[)\]}}>]|(?<=[ \t]){_DOT}(?=[ \t]))[ \t]*)"
-#: A run of three spelled digits or more, numerals and dots between them allowed; ``plus`` may lead.
+#: A run of three spelled digits or more, numerals and dots between them allowed; ``plus`` may lead. No identifier has
+#: more than 19 digits, so no more numerals than that belong to it.
 _SPELLED = re.compile(
-    rf"(?i)(?<!\w)(?:plus[ \t-]+|\+[ \t]?)?(?:[0-9]+{_BETWEEN})*{_WORDS}(?:{_BETWEEN}(?:{_WORDS}|[0-9]+)(?!\w))+(?!\w)"
+    rf"(?i)(?<!\w)(?:plus[ \t-]+|\+[ \t]?)?(?:[0-9]+{_BETWEEN}){{0,19}}{_WORDS}(?:{_BETWEEN}(?:{_WORDS}|[0-9]+)(?!\w))+(?!\w)"
 )
 _PART = re.compile(rf"(?i)(?P<plus>plus[ \t-]+|\+[ \t]?)|(?P<digit>{_WORDS})(?!\w)|(?P<number>[0-9]+)|(?P<dot>[ \t]*(?:\.|[(\[{{<]?[ \t]*{_DOT}[ \t]*[)\]}}>]?)[ \t]*)|(?P<gap>[ \t,-]+)")
 
@@ -158,7 +159,7 @@ _CLASS = (
     | {b"at": "a", b"arroba": "a"}
 )
 _APART = bytes(32 if i < 128 and not chr(i).isalnum() else i for i in range(256))
-_DIGIT_RUN = re.compile("d[dn]*d[dn]*d|[dn]*n[dn]*d[dn]*d|dn+d")
+_RUN = re.compile("[dn]{3,}")
 
 
 def _hints(text: str) -> str:
@@ -177,10 +178,9 @@ class Tape:
         """edits: (start, end, new text) in order, apart from each other."""
         if not edits:
             return
-        out, starts, ends, changed, at = [], [], [], [], 0
+        out, starts, ends, changed, at, base_at = [], [], [], [], 0, 0
         old = self.changed
         for a, b, new in [*edits, (len(self.text), len(self.text), "")]:
-            base_at = sum(map(len, out))
             i = bisect_left(old, at)
             while i < len(old) and old[i] < a:
                 changed.append(old[i] - at + base_at)
@@ -195,6 +195,7 @@ class Tape:
                 ends += [last] * len(new)
             elif b > a:  # the character after a deleted one counts as rewritten
                 changed.append(base_at + a - at)
+            base_at += a - at + len(new)
             at = b
         self.text, self.starts, self.ends, self.changed = "".join(out), starts, ends, changed
 
@@ -206,7 +207,7 @@ def _unglyph(tape: Tape) -> None:
 
 
 def _unspell(tape: Tape, hints: str) -> None:
-    if not _DIGIT_RUN.search(hints):
+    if not any(run.count("d") > 1 for run in _RUN.findall(hints)):
         return
     edits = []
     for m in _SPELLED.finditer(tape.text):
