@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -66,6 +66,7 @@ class Words:
 
     log_p: dict[str, float]
     total: float
+    seen: dict[str, list[str]] = field(default_factory=dict)
 
     def cost(self, word: str) -> float:
         known = self.log_p.get(word)
@@ -73,8 +74,10 @@ class Words:
 
     def split(self, name: str) -> list[str]:
         """The most likely sequence of words; unknown stretches stay together."""
-        if name in self.log_p or len(name) < 2:
+        if len(name) < 2:  # a known name is split too if its words are likelier: run-together names are counted like any
             return [name] if name else []
+        if (known := self.seen.get(name)) is not None:
+            return known
         best, back = [0.0], [0]
         for end in range(1, len(name) + 1):
             # as one unknown word, or with a word of at most LONGEST characters last
@@ -85,6 +88,8 @@ class Words:
         while end:
             words.append(name[back[end] : end])
             end = back[end]
+        if len(self.seen) < VOCABULARY:  # only spares work
+            self.seen[name] = words[::-1]
         return words[::-1]
 
     def tokens(self, host: str, path: str) -> list[str]:
