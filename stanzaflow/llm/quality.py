@@ -101,7 +101,7 @@ def _sigmoid(x):
 def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Model:
     """Adam on the logistic loss; each step takes one batch of bags."""
     prior = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < prior < 1:
+    if not bags or not 0 < prior < 1:
         return Model(np.zeros(1), np.ones(1), {}, prior)
     every = np.concatenate([b.astype(np.float32) for b in bags])
     mean, spread = every.mean(axis=0), every.std(axis=0) + 0.02
