@@ -5,6 +5,10 @@ of the delimited words of all hosts and paths) splits concatenated names by the
 most likely sequence of words (unigram Viterbi). The words of urls that a rule
 decides train a multinomial naive Bayes; it judges the others.
 
+Every counted word and every token is used. Both counts stay tables: names and
+undecided urls are dealt to chunks, and a chunk gets by join just the counts that
+its own substrings or tokens ask for.
+
 Defined results: a null url, or one without ``://``, has empty host and path, no
 rule, and the verdict of the class priors; without any url that a rule decides,
 the verdict is allow; an empty table gives no rows; repeated rows get equal
@@ -14,20 +18,20 @@ values; a null page_id is passed on; extra columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: The word model and the classifier keep so many words, the most frequent ones.
-VOCABULARY = 50_000
 LONGEST = 24
+#: Rows of a chunk, and the least number of chunks (so that all tasks have some).
+CHUNK, CHUNKS = 2000, 1024
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORD = re.compile(r"[^\W_]+")
 
 
 def _rest() -> Column:
@@ -55,6 +59,16 @@ def rule(rules=RULES) -> Column:
     return choice
 
 
+def labels() -> Column:
+    """The delimited words of host (``h``) and path (``p``) in order, as array<struct<kind, name>>."""
+
+    def of(kind: str, text: Column) -> Column:
+        names = F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda name: F.length(name) > 0)
+        return F.transform(names, lambda name: F.struct(F.lit(kind).alias("kind"), name.alias("name")))
+
+    return F.concat(of("h", F.col("host")), of("p", F.lower("path")))
+
+
 def parts(pages: DataFrame, rules=RULES) -> DataFrame:
     rows = pages.select("page_id", "url").select("page_id", host().alias("host"), path().alias("path"))
     return rows.withColumn("ruled", rule(rules))
@@ -66,7 +80,6 @@ class Words:
 
     log_p: dict[str, float]
     total: float
-    seen: dict[str, list[str]] = field(default_factory=dict)
 
     def cost(self, word: str) -> float:
         known = self.log_p.get(word)
@@ -76,8 +89,6 @@ class Words:
         """The most likely sequence of words; unknown stretches stay together."""
         if len(name) < 2:  # a known name is split too if its words are likelier: run-together names are counted like any
             return [name] if name else []
-        if (known := self.seen.get(name)) is not None:
-            return known
         best, back = [0.0], [0]
         for end in range(1, len(name) + 1):
             # as one unknown word, or with a word of at most LONGEST characters last
@@ -88,81 +99,117 @@ class Words:
         while end:
             words.append(name[back[end] : end])
             end = back[end]
-        if len(self.seen) < VOCABULARY:  # only spares work
-            self.seen[name] = words[::-1]
         return words[::-1]
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        found = [f"h:{w}" for label in _WORD.findall(host) for w in self.split(label)]
-        for label in _WORD.findall(path.lower()):
-            found += ["p:#"] if label.isdigit() else [f"p:{w}" for w in self.split(label)]
-        return found
-
 
 @dataclass
 class Bayes:
     """Multinomial naive Bayes with add-one smoothing; weights are log odds of block."""
 
-    weights: dict[str, float]
-    unknown: float
+    blocked: float
+    allowed: float
     prior: float
 
-    def odds(self, tokens: list[str]) -> float:
-        return self.prior + sum(self.weights.get(t, self.unknown) for t in tokens)
+    def weight(self, n: int = 0, b: int = 0) -> float:
+        """Of a token seen ``n`` times in urls that a rule decides, ``b`` times in blocked ones."""
+        return math.log((b + 1) / self.blocked) - math.log((n - b + 1) / self.allowed)
+
+
+def _dealt(by: Column, rows: int) -> Column:
+    return F.pmod(F.xxhash64(by), F.lit(max(CHUNKS, -(-rows // CHUNK)))).alias("chunk")
 
 
-def word_model(rows: DataFrame, size: int = VOCABULARY) -> Words:
-    """Counts over all rows; the driver gets the ``size`` most frequent words."""
-    raw = F.concat(F.split("host", r"[^\p{L}\p{N}]+"), F.split(F.lower("path"), r"[^\p{L}\p{N}]+"))
-    counts = rows.select(F.explode(raw).alias("word")).where((F.length("word") > 0) & (F.length("word") <= LONGEST))
-    counts = counts.where(~F.col("word").rlike("^[0-9]+$")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(size).collect()
-    total = float(sum(r["n"] for r in top))
-    return Words({r["word"]: math.log(r["n"] / total) for r in top}, total)
+def _pieces(name: str) -> Column:
+    """All substrings that can be a segment."""
+    size = F.length(name)
+    return F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), size),
+            lambda at: F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), size - at + 1)), lambda n: F.col(name).substr(at, n)),
+        )
+    )
 
 
-def bayes(rows: DataFrame, words: Words, size: int = VOCABULARY) -> Bayes:
-    """Token counts over all urls that a rule decides; the ``size`` most frequent tokens are weighed."""
+def name_counts(rows: DataFrame) -> DataFrame:
+    """How often each delimited word occurs in all hosts and paths: name, n, counted (whether the word model has it)."""
+    names = rows.select(F.explode(labels().getField("name")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    return names.withColumn("counted", (F.length("name") <= LONGEST) & ~F.col("name").rlike("^[0-9]+$"))
+
+
+def split_names(names: DataFrame) -> DataFrame:
+    """name, number (all digits), words; each chunk of names meets the counts of all its substrings."""
+    size = names.agg(F.count(F.lit(1)).alias("names"), F.coalesce(F.sum(F.when(F.col("counted"), F.col("n"))), F.lit(0)).alias("total")).first()
+    total = float(size["total"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, paths, blocked = (batch.column(i).to_pylist() for i in range(3))
-            tokens, marks = [], []
-            for h, p, b in zip(hosts, paths, blocked, strict=True):
-                found = words.tokens(h, p)
-                tokens += found
-                marks += [b] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array(marks, pa.int64())], names=["token", "blocked"])
-
-    ruled = rows.where(F.col("ruled").isNotNull()).select("host", "path", (F.col("ruled.verdict") == "block").cast("long").alias("blocked"))
-    urls = ruled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b")).first()
+            for found, known in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                model = Words({r["word"]: math.log(r["n"] / total) for r in known or ()}, total)
+                columns = [pa.array(found, pa.string()), pa.array([x.isdigit() for x in found], pa.bool_())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([model.split(x) for x in found], pa.list_(pa.string()))], names=["name", "number", "words"])
+
+    dealt = names.select(_dealt(F.col("name"), size["names"]), "name")
+    asked = dealt.select("chunk", F.explode(_pieces("name")).alias("word")).distinct()
+    known = asked.join(names.where("counted").select(F.col("name").alias("word"), "n"), "word")
+    known = known.groupBy("chunk").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+    chunks = dealt.groupBy("chunk").agg(F.collect_list("name").alias("names")).join(known, "chunk", "left")
+    return chunks.select("names", "known").mapInArrow(run, "name string, number boolean, words array<string>")
+
+
+def _token() -> Column:
+    words = F.when((F.col("kind") == "p") & F.col("number"), F.array(F.lit("#"))).otherwise(F.col("words"))
+    return F.transform(words, lambda w: F.concat("kind", F.lit(":"), w))
+
+
+def token_counts(rows: DataFrame, splits: DataFrame) -> DataFrame:
+    """token, n, b (n in blocked urls), over all urls that a rule decides."""
+    ruled = rows.where(F.col("ruled").isNotNull()).select((F.col("ruled.verdict") == "block").cast("long").alias("b"), F.inline(labels()))
+    ruled = ruled.groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"))
+    tokens = ruled.join(splits, "name").select(F.explode(_token()).alias("token"), "n", "b")
+    return tokens.groupBy("token").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
+
+
+def bayes(urls, tokens: DataFrame) -> Bayes:
+    """``urls``: counts n of urls that a rule decides, b of blocked ones."""
     if not urls["n"]:
-        return Bayes({}, 0.0, -1.0)
-    counts = ruled.mapInArrow(run, "token string, blocked long").groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("b"))
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("v")).first()
+        return Bayes(1.0, 1.0, -1.0)
+    totals = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("v")).first()
     blocked, allowed = totals["b"] + totals["v"] + 1, totals["n"] - totals["b"] + totals["v"] + 1
-    top = counts.orderBy(F.desc("n"), "token").limit(size).collect()
-    weights = {r["token"]: math.log((r["b"] + 1) / blocked) - math.log((r["n"] - r["b"] + 1) / allowed) for r in top}
-    return Bayes(weights, math.log(allowed / blocked), math.log((urls["b"] + 1) / (urls["n"] - urls["b"] + 1)))
+    return Bayes(blocked, allowed, math.log((urls["b"] + 1) / (urls["n"] - urls["b"] + 1)))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, block_odds (log odds; null if a rule decided)."""
+    scratch = Scratch(pages.sparkSession)
     rows = parts(pages, rules)
-    words = word_model(rows)
-    model = bayes(rows, words)
+    splits = scratch.save(split_names(scratch.save(name_counts(rows), "names")), "splits")
+    tokens = scratch.save(token_counts(rows, splits), "tokens")
+    block = F.col("ruled.verdict") == "block"
+    urls = rows.agg(F.count("ruled").alias("n"), F.count_if(block).alias("b"), F.count_if(F.col("ruled").isNull()).alias("open")).first()
+    model = bayes(urls, tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(i) for i in range(4)]
-            verdicts = batch.column(4).to_pylist()
-            odds: list[float | None] = [None] * len(verdicts)
-            for i, (h, p) in enumerate(zip(columns[1].to_pylist(), columns[2].to_pylist(), strict=True)):
-                if verdicts[i] is None:
-                    odds[i] = model.odds(words.tokens(h, p))
-                    verdicts[i] = "block" if odds[i] > 0 else "allow"
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(verdicts, pa.string()), pa.array(odds, pa.float64())], names=names)
-
-    names = ["page_id", "host", "path", "rule", "verdict", "block_odds"]
-    rows = rows.select("page_id", "host", "path", F.col("ruled.rule").alias("rule"), F.col("ruled.verdict").alias("verdict"))
-    return rows.mapInArrow(run, "page_id long, host string, path string, rule string, verdict string, block_odds double")
+            for found, names, counts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                known = {(r["kind"], r["name"]): r["tokens"] for r in names or ()}
+                weights = {r["token"]: model.weight(r["n"], r["b"]) for r in counts or ()}
+                at = [[t for x in r["labels"] for t in known[x["kind"], x["name"]]] for r in found]
+                odds = [model.prior + sum(weights.get(t, unseen) for t in ts) for ts in at]
+                columns = [pa.array([r[k] for r in found], t) for k, t in (("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()))]
+                columns += [pa.nulls(len(found), pa.string()), pa.array(["block" if x > 0 else "allow" for x in odds], pa.string())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(odds, pa.float64())], names=fields)
+
+    unseen, fields = model.weight(), ["page_id", "host", "path", "rule", "verdict", "block_odds"]
+    # saved, since the numbers that deal the rows must not change from one reading to the next
+    undecided = rows.where(F.col("ruled").isNull()).select(_dealt(F.monotonically_increasing_id(), urls["open"]), "page_id", "host", "path")
+    undecided = scratch.save(undecided, "undecided").withColumn("labels", labels())
+    names = undecided.select("chunk", F.inline("labels")).distinct().join(splits, "name").select("chunk", "kind", "name", _token().alias("tokens"))
+    counts = names.select("chunk", F.explode("tokens").alias("token")).distinct().join(tokens, "token")
+    chunks = undecided.groupBy("chunk").agg(F.collect_list(F.struct("page_id", "host", "path", "labels")).alias("urls"))
+    chunks = chunks.join(names.groupBy("chunk").agg(F.collect_list(F.struct("kind", "name", "tokens")).alias("names")), "chunk", "left")
+    chunks = chunks.join(counts.groupBy("chunk").agg(F.collect_list(F.struct("token", "n", "b")).alias("counts")), "chunk", "left")
+    judged = chunks.select("urls", "names", "counts").mapInArrow(run, "page_id long, host string, path string, rule string, verdict string, block_odds double")
+    ruled = rows.where(F.col("ruled").isNotNull()).select(
+        F.col("page_id").cast("long").alias("page_id"), "host", "path", F.col("ruled.rule").alias("rule"), F.col("ruled.verdict").alias("verdict"), F.lit(None).cast("double").alias("block_odds")
+    )
+    return ruled.unionByName(judged)

@@ -219,6 +219,18 @@ def test_bayes_carries_over(spark):
     assert got == {1000: "block", 1001: "block", 1002: "allow", 1003: "allow"}
 
 
+def test_rare_words_count_in_large_vocabularies(spark):
+    """60,000 words are more frequent than the one that tells the undecided urls apart."""
+    name = F.concat(F.lit("a"), F.translate(F.col("id").cast("string"), "0123456789", "bcdfghjklm"))
+    url = F.concat(F.lit("http://"), name, F.lit("-"), name, F.lit(".com/"), F.when(F.col("id") % 2 == 0, "de").otherwise("fr"), F.lit("/"))
+    few = [(-1, "http://zzcheap.com/de/"), (-2, "http://zzcheap.net/"), (-3, "http://zzqqqqq.net/")]
+    pages = spark.range(60_000).select(F.col("id").alias("page_id"), url.alias("url"))
+    pages = pages.union(spark.createDataFrame(few, "page_id long, url string"))
+    got = {r["page_id"]: r for r in urlfilter.judge(pages).where("page_id < 0").collect()}
+    assert got[-2]["block_odds"] - got[-3]["block_odds"] == pytest.approx(np.log(2))
+    assert [got[i]["verdict"] for i in (-1, -2, -3)] == ["block", "block", "allow"]
+
+
 # -- quality ----------------------------------------------------------------------------------------------
 
 
