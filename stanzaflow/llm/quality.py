@@ -5,8 +5,10 @@ Each passage is encoded from the frequencies of its byte-class bigrams and of
 hashed byte 4-grams by one dense layer; gated attention (Ilse, Tomczak and
 Welling, "Attention-based Deep Multiple Instance Learning", 2018) weighs the
 passages, learned from document labels alone, and the score is a logistic unit
-on the weighted sum. Training runs on a bounded sample of labelled documents;
-scoring reads every passage of every text.
+on the weighted sum. Training runs on a bounded sample of labelled documents,
+and the bias then returns to the share of classes among all of them, so scores
+do not depend on how far the bound reaches; scoring reads every passage of every
+text.
 
 Defined results: null and empty texts are one empty passage and get the score
 the model gives it; without labels of both classes every score is the share of
@@ -168,11 +170,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from at most ``sample`` documents of each class, those with the smallest hash of doc_id.
 
     The sampled ids (2 x ``sample`` at most, times 1.2) are broadcast to pick
-    their texts; only encoded passages reach the driver.
+    their texts; only encoded passages reach the driver. The classes are sampled
+    at different rates, which shifts the learned log odds by a constant: it is
+    taken back from the output bias, by counts of all labelled documents.
     """
     labels = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     labels = labels.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    sizes = {r["quality"]: r["n"] for r in labels.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = docs.select("doc_id").join(labels, "doc_id")
+    sizes = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return train([], np.array([float(q) for q in sizes]))
     share = F.when(F.col("quality") == 1, min(1.0, 1.2 * sample / sizes[1])).otherwise(min(1.0, 1.2 * sample / sizes[0]))
@@ -186,7 +191,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             seen[r["quality"]] += 1
             kept.append(r)
     bags = [np.frombuffer(r["bag"], np.float16).reshape(-1, FEATURES) for r in kept]
-    return train(bags, np.array([r["quality"] for r in kept], np.float32))
+    model = train(bags, np.array([r["quality"] for r in kept], np.float32))
+    if model.weights:
+        model.weights["out0"] += np.float32(np.log(sizes[1] / seen[1]) - np.log(sizes[0] / seen[0]))
+    return model
 
 
 def score(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> DataFrame:

@@ -280,3 +280,14 @@ def test_every_passage_counts():
     changed = text[: quality.PASSAGE * 3] + b"@#$%&*" * 85
     a, b = quality.passages(text), quality.passages(changed)
     assert len(a) == 4 and (a[:3] == b[:3]).all() and not (a[3] == b[3]).all()
+
+
+def test_sampling_leaves_the_share_of_classes(spark):
+    """Texts that tell nothing get the share of label 1 among all labelled documents, however few are sampled."""
+    docs = spark.range(1500).select(F.col("id").alias("doc_id"), F.lit("plain words here. " * 40).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 7 != 0).cast("int").alias("quality"))
+    more = labels.union(spark.range(10_000, 12_000).select(F.col("id"), F.lit(0)))  # labels of no document
+    share = labels.where(~quality.held_out()).agg(F.avg("quality")).first()[0]
+    for sample in (2000, 60):
+        for some in (labels, more):
+            assert quality.fit(docs, some, sample).score(b"plain words here. " * 40) == pytest.approx(share, abs=0.03)
