@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-LONGEST = 24
+#: Candidates of more characters than this are looked up only where a longer word's first ``SHORT`` characters occur.
+SHORT = 16
 #: Rows of a chunk, and the least number of chunks (so that all tasks have some).
 CHUNK, CHUNKS = 2000, 1024
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -81,18 +82,24 @@ class Words:
     log_p: dict[str, float]
     total: float
 
-    def cost(self, word: str) -> float:
-        known = self.log_p.get(word)
-        return known if known is not None else -math.log(max(self.total, 1.0)) - len(word) * math.log(10.0)
+    def __post_init__(self):
+        self.lengths = sorted({len(w) for w in self.log_p})
 
     def split(self, name: str) -> list[str]:
         """The most likely sequence of words; unknown stretches stay together."""
         if len(name) < 2:  # a known name is split too if its words are likelier: run-together names are counted like any
             return [name] if name else []
+        new, more = -math.log(max(self.total, 1.0)), -math.log(10.0)
         best, back = [0.0], [0]
+        unknown, since = -math.inf, 0  # the best sequence that ends in an unknown word, of any length
         for end in range(1, len(name) + 1):
-            # as one unknown word, or with a word of at most LONGEST characters last
-            top, at = max((best[i] + self.cost(name[i:end]), i) for i in range(max(0, end - LONGEST), end))
+            unknown, since = max((unknown + more, since), (best[-1] + new + more, end - 1))
+            top, at = unknown, since
+            for n in self.lengths:
+                if n > end:
+                    break
+                if (known := self.log_p.get(name[end - n : end])) is not None:
+                    top, at = max((top, at), (best[end - n] + known, end - n))
             best.append(top)
             back.append(at)
         words, end = [], len(name)
@@ -119,21 +126,29 @@ def _dealt(by: Column, rows: int) -> Column:
     return F.pmod(F.xxhash64(by), F.lit(max(CHUNKS, -(-rows // CHUNK)))).alias("chunk")
 
 
-def _pieces(name: str) -> Column:
-    """All substrings that can be a segment."""
-    size = F.length(name)
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), size),
-            lambda at: F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), size - at + 1)), lambda n: F.col(name).substr(at, n)),
-        )
+def _asked(dealt: DataFrame, words: DataFrame) -> DataFrame:
+    """chunk, word: the substrings of names that can be counted words, of any length.
+
+    All up to ``SHORT`` characters; longer ones where they begin like a word, in the lengths of such words.
+    """
+    size = F.length("name")
+    starts = F.sequence(F.lit(1), size)
+    short = F.flatten(
+        F.transform(starts, lambda at: F.transform(F.sequence(F.lit(1), F.least(F.lit(SHORT), size - at + 1)), lambda n: F.col("name").substr(at, n)))
     )
+    short = dealt.select("chunk", F.explode(short).alias("word"))
+    long = words.where(F.length("word") > SHORT).groupBy(F.substring("word", 1, SHORT).alias("first")).agg(F.collect_set(F.length("word")).alias("lengths"))
+    tails = dealt.where(size > SHORT).select("chunk", F.explode(F.transform(F.sequence(F.lit(1), size - SHORT), lambda at: F.col("name").substr(at, size))).alias("tail"))
+    tails = tails.withColumn("first", F.substring("tail", 1, SHORT)).join(long, "first")
+    lengths = F.filter("lengths", lambda n: n <= F.length("tail"))
+    long = tails.select("chunk", F.explode(F.transform(lengths, lambda n: F.col("tail").substr(F.lit(1), n))).alias("word"))
+    return short.unionByName(long).distinct()
 
 
 def name_counts(rows: DataFrame) -> DataFrame:
     """How often each delimited word occurs in all hosts and paths: name, n, counted (whether the word model has it)."""
     names = rows.select(F.explode(labels().getField("name")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    return names.withColumn("counted", (F.length("name") <= LONGEST) & ~F.col("name").rlike("^[0-9]+$"))
+    return names.withColumn("counted", ~F.col("name").rlike("^[0-9]+$"))
 
 
 def split_names(names: DataFrame) -> DataFrame:
@@ -149,8 +164,8 @@ def split_names(names: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array([model.split(x) for x in found], pa.list_(pa.string()))], names=["name", "number", "words"])
 
     dealt = names.select(_dealt(F.col("name"), size["names"]), "name")
-    asked = dealt.select("chunk", F.explode(_pieces("name")).alias("word")).distinct()
-    known = asked.join(names.where("counted").select(F.col("name").alias("word"), "n"), "word")
+    words = names.where("counted").select(F.col("name").alias("word"), "n")
+    known = _asked(dealt, words).join(words, "word")
     known = known.groupBy("chunk").agg(F.collect_list(F.struct("word", "n")).alias("known"))
     chunks = dealt.groupBy("chunk").agg(F.collect_list("name").alias("names")).join(known, "chunk", "left")
     return chunks.select("names", "known").mapInArrow(run, "name string, number boolean, words array<string>")

@@ -1,6 +1,7 @@
 """Language ID, SentencePiece, PII, URL filters, quality: round trips, brute force, held-out accuracy."""
 
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -231,6 +232,33 @@ def test_rare_words_count_in_large_vocabularies(spark):
     assert [got[i]["verdict"] for i in (-1, -2, -3)] == ["block", "block", "allow"]
 
 
+LONG = "internationalbusinessmachinesarchive"
+
+
+def test_words_of_any_length(spark):
+    """Long words are counted, also inside longer names, and an unknown stretch of any length stays one word."""
+    lone = "zqxj" * 20
+    urls = [f"http://{LONG}.com/de/"] * 300 + ["http://pills.com/de/"] * 300 + [f"http://{LONG}pills.net/", f"http://{lone}.net/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    names = urlfilter.name_counts(urlfilter.parts(pages))
+    got = {r["name"]: r["words"] for r in urlfilter.split_names(names).collect()}
+    assert got[LONG] == [LONG] and got[f"{LONG}pills"] == [LONG, "pills"] and got[lone] == [lone]
+    words = urlfilter.Words({LONG: float(np.log(1 / 2)), "pills": float(np.log(1 / 2))}, 600.0)
+    assert words.split(f"{lone}pills{LONG}") == [lone, "pills", LONG]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abc", max_size=9), st.dictionaries(st.text(alphabet="abc", min_size=1, max_size=4), st.integers(1, 50), max_size=8))
+def test_split_is_the_likeliest(name, counts):
+    total = sum(counts.values()) + 7.0
+    words = urlfilter.Words({w: float(np.log(n / total)) for w, n in counts.items()}, total)
+    cost = lambda w: words.log_p.get(w, -np.log(total) - len(w) * np.log(10))
+    cuts = ([name[a:b] for a, b in zip([0, *c], [*c, len(name)], strict=True)] for n in range(len(name)) for c in itertools.combinations(range(1, len(name)), n))
+    want = max((sum(map(cost, x)) for x in cuts), default=0.0)
+    got = words.split(name)
+    assert "".join(got) == name and sum(map(cost, got)) == pytest.approx(want)
+
+
 # -- quality ----------------------------------------------------------------------------------------------
 
 
