@@ -132,23 +132,22 @@ _NAME = "|".join(sorted(map(re.escape, _DIGITS), key=len, reverse=True))
 _DOT = r"(?:dot|punto|punkt|point)"
 _WORDS = rf"(?:(?:double|triple)[ -])?(?:{_NAME})"
 _BETWEEN = rf"(?:[ \t,-]{{1,3}}|[ \t]*(?:\.|[(\[{{<][ \t]*{_DOT}[ \t]*[)\]}}>]|(?<=[ \t]){_DOT}(?=[ \t]))[ \t]*)"
-#: A run of three spelled digits or more, numerals and dots between them allowed; ``plus`` may lead. No identifier has
+#: A run with a spelled digit or more, numerals and dots between them allowed; ``plus`` may lead. No identifier has
 #: more than 19 digits, so no more numerals than that belong to it.
 _SPELLED = re.compile(
-    rf"(?i)(?<!\w)(?:plus[ \t-]+|\+[ \t]?)?(?:[0-9]+{_BETWEEN}){{0,19}}{_WORDS}(?:{_BETWEEN}(?:{_WORDS}|[0-9]+)(?!\w))+(?!\w)"
+    rf"(?i)(?<!\w)(?:plus[ \t-]+|\+[ \t]?)?(?:[0-9]+{_BETWEEN}){{0,19}}{_WORDS}(?!\w)(?:{_BETWEEN}(?:{_WORDS}|[0-9]+)(?!\w))*"
 )
 _PART = re.compile(rf"(?i)(?P<plus>plus[ \t-]+|\+[ \t]?)|(?P<digit>{_WORDS})(?!\w)|(?P<number>[0-9]+)|(?P<dot>[ \t]*(?:\.|[(\[{{<]?[ \t]*{_DOT}[ \t]*[)\]}}>]?)[ \t]*)|(?P<gap>[ \t,-]+)")
 
-_LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})"
 _OPEN, _SHUT = r"[ \t]{0,3}[(\[{<][ \t]{0,2}", r"[ \t]{0,2}[)\]}>][ \t]{0,3}"
 _AT_MARK = rf"(?:{_OPEN}(?:at|ät|arroba|chez|@){_SHUT}|[ \t]{{1,3}}(?:at|arroba)[ \t]{{1,3}}|[ \t]{{0,3}}@[ \t]{{0,3}}|_at_|-at-)"
 _DOT_MARK = rf"(?:{_OPEN}(?:{_DOT}|\.){_SHUT}|[ \t]{{1,3}}{_DOT}[ \t]{{1,3}}|_dot_|-dot-)"
-_LOCAL_DOT = rf"(?:{_OPEN}(?:{_DOT}|\.){_SHUT}|[ \t]{{1,3}}dot[ \t]{{1,3}}|_dot_|-dot-)"
-_MAIL = re.compile(
-    rf"(?i)(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9_%+-][A-Za-z0-9._%+-]{{0,63}}?(?:{_LOCAL_DOT}[A-Za-z0-9_%+-]{{1,64}}?){{0,3}})"
-    rf"(?P<at>{_AT_MARK})(?P<host>{_LABEL}(?:(?:{_DOT_MARK}|\.){_LABEL}){{1,6}})"
-)
-_MARK = re.compile(rf"(?i)(?P<at>{_AT_MARK})|(?P<dot>{_DOT_MARK})")
+_LOCAL_DOT = re.compile(rf"(?i){_OPEN}(?:{_DOT}|\.){_SHUT}|[ \t]{{1,3}}dot[ \t]{{1,3}}")
+_AT = re.compile(rf"(?i){_AT_MARK}")
+_DOTS = re.compile(rf"(?i){_DOT_MARK}|\.")
+_LOCALS = re.compile(r"[A-Za-z0-9._%+-]+")
+_HOSTS = re.compile(r"[A-Za-z0-9-]+")
+_ALNUM = re.compile(r"[A-Za-z0-9]")
 _BARE_AT = re.compile(r"(?i)[ \t]+(?:at|arroba)[ \t]+$")
 _BRACKETED = re.compile(rf"(?i)[(\[{{<][ \t]{{0,2}}(?:at|ät|arroba|chez|@|{_DOT}|\.)[ \t]{{0,2}}[)\]}}>]")
 _PLAIN = ("_at_", "-at-", "_dot_", "-dot-", "_AT_", "-AT-", "_DOT_", "-DOT-", " @", "@ ")
@@ -159,7 +158,7 @@ _CLASS = (
     | {b"at": "a", b"arroba": "a"}
 )
 _APART = bytes(32 if i < 128 and not chr(i).isalnum() else i for i in range(256))
-_RUN = re.compile("[dn]{3,}")
+_RUN = re.compile("[dn]{2,}")
 
 
 def _hints(text: str) -> str:
@@ -206,8 +205,9 @@ def _unglyph(tape: Tape) -> None:
         tape.rewrite([(m.start(), m.end(), table[ord(m[0])]) for m in _odd().finditer(tape.text)])
 
 
-def _unspell(tape: Tape, hints: str) -> None:
-    if not any(run.count("d") > 1 for run in _RUN.findall(hints)):
+def _unspell(tape: Tape, hints: str, least: int) -> None:
+    """Digits for their names, in runs that have ``least`` spelled ones; the detectors check how many digits they need."""
+    if not any("d" in run for run in _RUN.findall(hints)):
         return
     edits = []
     for m in _SPELLED.finditer(tape.text):
@@ -225,53 +225,105 @@ def _unspell(tape: Tape, hints: str) -> None:
             elif p["gap"] and p.end() < m.end():
                 pieces.append((p.start(), p.end(), ""))
             at = p.end()
-        if digits >= 3:
+        if digits >= least:
             edits += pieces
     tape.rewrite(edits)
 
 
-_NEAR = re.compile("a.{0,4}n")
+_NEAR = re.compile("a.*n")
+
+
+def _chains(text: str) -> tuple[list[int], list[int], list[int]]:
+    """Runs of local characters: starts, ends, and where the chain of runs begins that spelled dots join."""
+    dots = {m.end(): m.start() for m in _LOCAL_DOT.finditer(text)}
+    starts, ends, begins, at = [], [], [], {}
+    for m in _LOCALS.finditer(text):
+        starts.append(m.start())
+        ends.append(m.end())
+        begins.append(at.get(dots.get(m.start()), m.start()))
+        at[m.end()] = begins[-1]
+    return starts, ends, begins
 
 
 def _unmark(tape: Tape, hints: str) -> None:
-    """At and dot in words or brackets. A bare ``at`` counts only if the host has a disguised dot too."""
+    """At and dot in words or brackets. A bare ``at`` counts only if the host has a disguised dot too.
+
+    Local part and host are followed outward from each at-mark, over any number
+    of characters and dots; runs and dots are listed once, so the work is linear.
+    """
     text = tape.text
     if not (_NEAR.search(hints) or any(x in text for x in _PLAIN) or _BRACKETED.search(text)):
         return
-    edits = []
-    for m in _MAIL.finditer(tape.text):
-        host = list(_MARK.finditer(tape.text, m.start("host"), m.end("host")))
-        if _BARE_AT.search(m["at"]) and not any(x["dot"] for x in host):
+    ats = [m.span() for m in _AT.finditer(text)]
+    if not ats:
+        return
+    starts, ends, begins = _chains(text)
+    dots = [m.span() for m in _DOTS.finditer(text)]
+    hosts = [m.span() for m in _HOSTS.finditer(text)]
+    edits, free = [], 0
+    for a, b in ats:
+        k = bisect_left(starts, a) - 1  # the run that holds the character before the mark
+        if a < free or k < 0 or ends[k] < a or max(starts[k], free) >= a or not _ALNUM.match(text, b):
             continue
-        if m["at"].strip() == "@" and not any(x["dot"] for x in host) and not m["at"] != m["at"].strip():
+        host, at = [], b
+        i = bisect_left(dots, (b, b))
+        h = bisect_left(hosts, (b + 1, 0)) - 1
+        while h < len(hosts):
+            while h < len(hosts) and hosts[h][1] <= at:
+                h += 1
+            if h == len(hosts) or hosts[h][0] > at:
+                break
+            while i < len(dots) and dots[i][0] <= at:
+                i += 1
+            if i == len(dots) or dots[i][0] > hosts[h][1] or not _ALNUM.match(text, dots[i][1]):
+                break
+            host.append(dots[i])
+            at = dots[i][1]
+        marked = [x for x in host if text[x[0] : x[1]] != "."]
+        mark = text[a:b]
+        if not host or (not marked and (_BARE_AT.search(mark) or mark == "@")):
             continue
-        edits += [(x.start(), x.end(), ".") for x in _MARK.finditer(tape.text, m.start("local"), m.end("local")) if x["dot"]]
-        edits.append((m.start("at"), m.end("at"), "@"))
-        edits += [(x.start(), x.end(), ".") for x in host if x["dot"]]
+        first = max(begins[k], free)
+        i = bisect_left(dots, (first, first))
+        while i < len(dots) and dots[i][1] <= a:
+            if dots[i][1] - dots[i][0] > 1:
+                edits.append((*dots[i], "."))
+            i += 1
+        edits.append((a, b, "@"))
+        edits += [(*x, ".") for x in marked]
+        free = next(x for x in hosts[bisect_left(hosts, (at + 1, 0)) - 1 :] if x[1] > at)[1]
     tape.rewrite(edits)
 
 
 def added(text: str, found: dict[str, list[Span]]) -> dict[str, list[Span]]:
-    """Spans behind a disguise, in source characters."""
-    tape = Tape(text)
-    _unglyph(tape)
-    hints = _hints(tape.text)
-    _unspell(tape, hints)
-    _unmark(tape, hints)
+    """Spans behind a disguise, in source characters.
+
+    Where names of digits are few they may be plain words beside an identifier:
+    what is found without rewriting them stands, and what needs them is added.
+    """
     more: dict[str, list[Span]] = {kind: [] for kind in KINDS}
-    if not tape.changed:
-        return more
-    for kind in KINDS:
-        known = found[kind]
-        for a, b in DETECT[kind](tape.text):
-            i = bisect_left(tape.changed, a)
-            if i == len(tape.changed) or tape.changed[i] >= b:
-                continue
-            start, end = tape.starts[a], tape.ends[b - 1]
-            k = bisect_left(known, (start, start))
-            if all(end <= s or e <= start for s, e in known[max(0, k - 1) : k + 2]):
-                more[kind].append((start, end))
-    return more
+    hints = ""
+    for least in (3, 1):
+        tape = Tape(text)
+        _unglyph(tape)
+        hints, before = hints or _hints(tape.text), tape.text
+        _unspell(tape, hints, least)
+        if least == 1 and tape.text == before:
+            break
+        _unmark(tape, hints)
+        if not tape.changed:
+            continue
+        for kind in KINDS:
+            known = sorted(found[kind] + more[kind])
+            for a, b in DETECT[kind](tape.text):
+                i = bisect_left(tape.changed, a)
+                if i == len(tape.changed) or tape.changed[i] >= b:
+                    continue
+                start, end = tape.starts[a], tape.ends[b - 1]
+                k = bisect_left(known, (start, start))
+                if all(end <= s or e <= start for s, e in known[max(0, k - 1) : k + 2]):
+                    more[kind].append((start, end))
+    return {kind: sorted(x) for kind, x in more.items()}
 
 
 def detect(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:

@@ -162,6 +162,29 @@ def test_disguised(text, kind, part):
     assert (a, a + len(part)) in more[kind] and not found[kind]
 
 
+LENGTHY = [
+    ("x" * 90 + "[at]mail.org", "email"),
+    ("a dot b dot c dot d dot e dot f (at) mail (dot) org", "email"),
+    ("jo (at) " + " (dot) ".join("abcdefghij"), "email"),
+    ("jo at one-host-of-many-short-words dot com", "email"),
+    ("4111 1111 1111 111 one", "card"),
+    ("4111 one 111 1111 1111", "card"),
+    ("+44 20 79 46 five", "phone"),
+    ("192.168.0 dot seven", "ip"),
+]
+
+
+@pytest.mark.parametrize(("part", "kind"), LENGTHY)
+def test_disguises_have_no_counts(part, kind):
+    found, more = pii.detect(f"so: {part}; then")
+    assert more[kind] == [(4, 4 + len(part))] and not found[kind]
+
+
+@pytest.mark.parametrize("text", ["-at-x" * 40_000, "x_at_" * 40_000, "a_dot_" * 40_000, "a dot b " * 30_000, "a at b.c " * 30_000, "x-at-b.c" * 30_000])
+def test_marks_in_linear_time(text):
+    pii.detect(text)
+
+
 @pytest.mark.parametrize("text", ["meet at noon. dot the i", "one two three", "she was at home", "a @ b", "two plus two is four", "at 5 dot 3"])
 def test_plain_text_is_left_alone(text):
     assert not any(pii.detect(text)[1].values())
