@@ -5,9 +5,9 @@ score, then from the left. Where no piece has a word-start mark after another
 character, no merge crosses the start of a word, nor a character that is in no
 longer piece (digits, line ends), so a text is merged word by word and merged
 words are remembered (about ``CACHE`` of them a worker).
-Characters without a piece become their UTF-8 bytes. In each Arrow batch one text
-in ``CHECK`` is also encoded by the sentencepiece library; if any differs, the
-library encodes the whole batch and ``agrees`` is false for its rows.
+Characters without a piece become their UTF-8 bytes. Every text is also encoded
+by the sentencepiece library; ``agrees`` says of each row if the two are the same,
+and where they are not the library's ids count.
 
 Defined results: a null text is empty: no ids, empty decoded text; an empty
 table gives no rows; repeated rows get equal values; a null doc_id is passed on;
@@ -30,8 +30,6 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 CACHE = 400_000
-#: One text in so many is checked against the library, in every Arrow batch.
-CHECK = 4
 _PLACE = (1 << 40) - 1
 MODEL = "piece_bpe_32k.model"
 
@@ -145,6 +143,12 @@ def _digest(ids: list[list[int]], decoded: list[str]) -> list[pa.Array]:
     ]
 
 
+def _compared(codec: Codec, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
+    """Ids by the library, and of each text if the codec has the same."""
+    want = codec.library.encode(texts, num_threads=1)
+    return want, [codec.encode(t) == ids for t, ids in zip(texts, want, strict=True)]
+
+
 def _run(docs: DataFrame, model: str | None, schema: str, made) -> DataFrame:
     with open(model or default_model(), "rb") as f:
         proto = f.read()
@@ -156,10 +160,7 @@ def _run(docs: DataFrame, model: str | None, schema: str, made) -> DataFrame:
             for at in range(0, len(whole), 64):  # ids of 64 texts are in memory at a time
                 batch = whole.slice(at, 64)
                 texts = [t or "" for t in batch.column("text").to_pylist()]
-                ids = [codec.encode(t) for t in texts]
-                agrees = [codec.library.encode(texts[::CHECK], num_threads=1) == ids[::CHECK]] * len(texts)
-                if not all(agrees):
-                    ids = codec.library.encode(texts, num_threads=1)
+                ids, agrees = _compared(codec, texts)
                 decoded = [codec.decode(x) for x in ids]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made(ids, decoded), pa.array(agrees)], names=names)
 

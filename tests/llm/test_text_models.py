@@ -103,6 +103,14 @@ def test_piece_documents(spark, docs):
     assert all(r["agrees"] for r in got)
 
 
+@pytest.mark.parametrize("wrong", range(8))
+def test_every_text_is_compared(codec, wrong, monkeypatch):
+    texts = [f"text number {i}" for i in range(8)]
+    want, right = codec.library.encode(texts), codec.encode
+    monkeypatch.setattr(codec, "encode", lambda t: [] if t == texts[wrong] else right(t))
+    assert piece._compared(codec, texts) == (want, [i != wrong for i in range(8)])
+
+
 # -- PII ---------------------------------------------------------------------------------------------------
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
