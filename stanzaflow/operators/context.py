@@ -1,6 +1,7 @@
 """Ordered collections and title lookups.
 
-``items``: collection_id, pos, title, kind (POEM or SECTION_TITLE).
+``items``: collection_id, pos, title, kind (POEM or SECTION_TITLE), and optionally
+resolved (whether the title led to a page).
 """
 
 from __future__ import annotations
@@ -24,7 +25,9 @@ def carry_sections(items: DataFrame) -> DataFrame:
 
 
 def numbered(poems: DataFrame) -> DataFrame:
-    """poem_order from 0 over the poems at hand; the first one carries the collection."""
+    """poem_order from 0 over the resolved poems (all, without that column); the first one carries the collection."""
+    if "resolved" in poems.columns:
+        poems = poems.where("resolved").drop("resolved")
     out = poems.withColumn("poem_order", (F.row_number().over(_ordered()) - 1).cast("int"))
     return out.withColumn("is_first_poem", F.col("poem_order") == 0)
 

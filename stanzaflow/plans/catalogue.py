@@ -585,7 +585,9 @@ _NUMBERED = f"{_CARRIED}, numbered AS (SELECT *, (row_number() OVER (PARTITION B
 
 
 def _numbered(spark, sf_dir):
-    return context.numbered(context.carry_sections(_items(spark, sf_dir)).where("pos % 5 != 3"))
+    # every item reaches the operator, which leaves out the unresolved ones
+    items = _items(spark, sf_dir).withColumn("resolved", F.expr("pos % 5 != 3"))
+    return context.numbered(context.carry_sections(items))
 
 
 @query(f"WITH {_CARRIED} SELECT conv_id AS collection_id, turn AS pos, text AS title, section AS section_title FROM poems")
