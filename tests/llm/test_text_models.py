@@ -106,9 +106,30 @@ def test_piece_documents(spark, docs):
 @pytest.mark.parametrize("wrong", range(8))
 def test_every_text_is_compared(codec, wrong, monkeypatch):
     texts = [f"text number {i}" for i in range(8)]
-    want, right = codec.library.encode(texts), codec.encode
-    monkeypatch.setattr(codec, "encode", lambda t: [] if t == texts[wrong] else right(t))
-    assert piece._compared(codec, texts) == (want, [i != wrong for i in range(8)])
+    want, right = codec.library.encode(texts), codec.encode_all
+
+    def broken(some):
+        ids, size = right(some)
+        ids[size[:wrong].sum()] += 1
+        return ids, size
+
+    monkeypatch.setattr(codec, "encode_all", broken)
+    ids, size, decoded, agrees = piece._compared(codec, texts)
+    assert agrees == [i != wrong for i in range(8)] and decoded == texts
+    assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == want
+
+
+def test_blocks_and_forgetting(codec, monkeypatch):
+    """Small blocks and a small memory change nothing; words of every width meet."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("etaoin shr\n1é😀▁ "), int(n))) for n in rng.integers(0, 400, 60)] + ["a" * 39, "ab" * 40, ""]
+    want = codec.library.encode(texts)
+    monkeypatch.setattr(piece, "CACHE", 20)
+    monkeypatch.setattr(piece, "TOGETHER", 50)
+    small = piece.Codec(codec.library.serialized_model_proto())
+    for _ in range(2):
+        ids, size = small.encode_all(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == want
 
 
 # -- PII ---------------------------------------------------------------------------------------------------
