@@ -6,20 +6,21 @@ least hash of the ``ANCHOR``-byte strings inside the window, so equal windows
 always meet; neighbouring windows with one anchor travel together as a piece
 (62 bytes for 13 windows on average).
 
-Documents that copy an earlier one whole are found first, by SHA-256. Then:
-
 1. Anchors that only one document has are dropped. Only hashes move, and an
-   anchor that many documents of a task share is sent on once.
-2. Pieces of the others go to shards. In a shard, equal pieces are combined;
-   where an anchor has several contents, their suffix array is built by induced
-   sorting, its permuted common prefixes tell which suffixes share a window, and
-   each run of those gets the first document of all its members.
-3. An anchor of more than ``CROWD`` documents (a passage that very many quote)
-   is not put in a shard: its pieces are combined by an aggregation with map-side
-   combining, and what differs goes to suffix arrays of its own; beyond
-   ``CONTENTS`` different pieces, an aggregation combines their windows too.
-
-Steps 2 and 3 compare whole strings; hashes only decide where they meet.
+   anchor that many documents of a task share is sent on once. The windows of an
+   anchor with over ``SPLIT`` contents (a short common string between ever
+   different neighbours) are dealt one by one, by their own hash; those that only
+   one document has are dropped likewise.
+2. Each task combines its equal pieces: a content goes to its shard once, with
+   its first and last document; where it stood stays behind. So a passage of any
+   number of documents reaches its shard as often as there are tasks.
+3. In a shard, equal contents are combined; where an anchor has several, their
+   suffix array is built by induced sorting, its permuted common prefixes tell
+   which suffixes share a window, and each run of those gets the first document
+   of all its members.
+4. The runs go back to the tasks' lists, which turn them into byte ranges.
+
+Whole strings are compared; hashes only decide where they meet.
 
 Defined results: a null text is empty; texts shorter than a window lose nothing;
 an empty table gives no rows; rows with a null doc_id lose nothing and remove
@@ -35,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,19 +47,17 @@ ANCHOR = 24  # few strings of this length stand in two texts by chance
 _ROOM = WINDOW - ANCHOR + 1
 #: Windows of one piece at most.
 _REACH = _ROOM
-#: An anchor of more documents is not put in a shard.
-CROWD = 256
-#: Of those, one with more different pieces is answered window by window.
-CONTENTS = 1 << 15
+#: The windows of an anchor with more contents than this (summed over tasks) are dealt one by one.
+SPLIT = 4096
 #: Bytes of text behind one group of anchors, which may bring some four times its share of pieces.
 SHARD = 16 << 20
 #: Bytes of contents in one suffix array.
 ARRAY = 2 << 20
-_RUNS = "array<struct<a:int,b:int,first:bigint>>"
 _STEP, _FLUSH = 1 << 16, 1 << 19
-#: Up to so many symbols, induction goes bucket by bucket.
-_BUCKETS = 4096
+#: Alphabets of more symbols than this have too few suffixes a bucket for array steps; the same steps go one by one.
+_BUCKETS = 1024
 _ODD = 0x9E3779B97F4A7C15
+_APART = np.uint64(0x5851F42D4C957F2D)  # hashes of windows are no anchors
 _BYTE = np.random.default_rng(16).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
 
 
@@ -75,8 +75,8 @@ def _rising(t: np.ndarray) -> np.ndarray:
     return up
 
 
-class _Induction:
-    """Bucket-wise induced sorting. Buckets are scanned in order, each in waves of what has just been put into it."""
+class _Waves:
+    """Induced sorting by array steps. Buckets are scanned in order, each in waves of what has just been put into it."""
 
     def __init__(self, t: np.ndarray, up: np.ndarray):
         self.t, self.up = t, up
@@ -126,19 +126,36 @@ class _Induction:
         return self.sa
 
 
-def _doubled(r: np.ndarray) -> np.ndarray:
-    """Suffix array by doubling ranks, for more symbols than bucket-wise induction is good for."""
-    rank, reach = r.astype(np.int64), 1
-    while True:
-        after = np.zeros(len(r), np.int64)
-        after[:-reach] = rank[reach:] + 1
-        key = rank * (len(r) + 1) + after
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        rank[order] = np.cumsum(np.concatenate(([False], key[1:] != key[:-1])))
-        reach *= 2
-        if rank[order[-1]] == len(r) - 1 or reach >= len(r):
-            return order
+class _Single:
+    """Induced sorting, one suffix at a time."""
+
+    def __init__(self, t: np.ndarray, up: np.ndarray):
+        self.t, self.up = t.tolist(), up.tolist()
+        counts = np.bincount(t)
+        self.ends = np.cumsum(counts)
+        self.starts = self.ends - counts
+
+    def run(self, lms: np.ndarray) -> np.ndarray:
+        t, up = self.t, self.up
+        sa = [-1] * len(t)
+        tail = self.ends.tolist()
+        for i in lms[::-1].tolist():
+            tail[t[i]] -= 1
+            sa[tail[t[i]]] = i
+        head = self.starts.tolist()
+        for i in sa:  # grows ahead of where it is read
+            if i > 0 and not up[i - 1]:
+                c = t[i - 1]
+                sa[head[c]] = i - 1
+                head[c] += 1
+        tail = self.ends.tolist()
+        for at in range(len(sa) - 1, -1, -1):
+            if (i := sa[at]) > 0 and up[i - 1]:
+                c = t[i - 1]
+                tail[c] -= 1
+                sa[tail[c]] = i - 1
+        sa[0] = len(t) - 1
+        return np.array(sa, np.int32)
 
 
 def _named(t: np.ndarray, order: np.ndarray, lms: np.ndarray) -> np.ndarray:
@@ -162,8 +179,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     """Order of the suffixes of ``t``: small non-negative integers, the last one less than all others.
 
     The leftmost rising substrings are sorted by induction and named, the string
-    of names is sorted recursively (by doubling where the names outnumber what
-    bucket-wise steps are good for), and its order induces that of all suffixes.
+    of names is sorted recursively, and its order induces that of all suffixes.
     """
     if len(t) < 3:
         return np.arange(len(t))[::-1].copy()
@@ -171,15 +187,14 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     is_lms = np.zeros(len(t), bool)
     is_lms[1:] = up[1:] & ~up[:-1]
     lms = np.flatnonzero(is_lms).astype(np.int32)
-    induction = _Induction(t, up)
+    induction = (_Waves if t.max() < _BUCKETS else _Single)(t, up)
     order = induction.run(lms)
     order = order[is_lms[order]]
     names = _named(t, order, lms)
     if names[-1] < len(lms) - 1:
         place = np.empty(len(t), np.int64)
         place[order] = names
-        reduced = place[lms]
-        order = lms[suffix_array(reduced) if names[-1] < _BUCKETS else _doubled(reduced)]
+        order = lms[suffix_array(place[lms])]
     return induction.run(order)
 
 
@@ -218,20 +233,25 @@ def _power(e: int) -> np.uint64:
     return np.uint64(pow(_ODD, e, 1 << 64))
 
 
-def _anchors(data: np.ndarray) -> np.ndarray:
-    """For each window of the data, its anchor."""
-    h, width, powers = _BYTE[data], 1, []
-    while 2 * width <= ANCHOR:
-        powers.append((width, h))
-        h = h[:-width] * _power(width) + h[width:]
-        width *= 2
+def _hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """Of each string of ``width`` bytes, a hash."""
+    h, done, powers = _BYTE[data], 1, []
+    while 2 * done <= width:
+        powers.append((done, h))
+        h = h[:-done] * _power(done) + h[done:]
+        done *= 2
     for part, x in reversed(powers):
-        if width + part <= ANCHOR:
-            h = h[: len(x) - width] * _power(part) + x[width : width + len(h)]
-            width += part
+        if done + part <= width:
+            h = h[: len(x) - done] * _power(part) + x[done : done + len(h)]
+            done += part
     h ^= h >> np.uint64(29)
     h *= np.uint64(0x94D049BB133111EB)
     h ^= h >> np.uint64(32)
+    return h
+
+
+def _anchors(h: np.ndarray) -> np.ndarray:
+    """h: hashes of strings of ``ANCHOR`` bytes. For each window, its anchor."""
     width = 1
     while 2 * width <= _ROOM:
         h = np.minimum(h[:-width], h[width:])
@@ -239,11 +259,15 @@ def _anchors(data: np.ndarray) -> np.ndarray:
     return np.minimum(h[: len(h) - (_ROOM - width)], h[_ROOM - width :]) if width < _ROOM else h
 
 
-def pieces(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """data: texts back to back, ``ends`` their ends. Starts, numbers of windows, and anchors of all pieces."""
+def pieces(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """data: texts back to back, ``ends`` their ends. Starts, numbers of windows, anchors and signatures of all pieces.
+
+    Equal pieces have equal signatures, others rarely.
+    """
     if len(data) < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    m = _anchors(data)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    h = _hashes(data, ANCHOR)
+    m = _anchors(h)
     inside = np.ones(len(data) + WINDOW, bool)
     for d in range(1, WINDOW):  # the last windows of a text would cross its end
         inside[np.maximum(ends - d, 0)] = False
@@ -258,7 +282,15 @@ def pieces(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         start = np.repeat(start, parts) + nth * _REACH
         count = np.minimum(np.repeat(count, parts) - nth * _REACH, _REACH)
-    return start, count, m[start]
+    signature = (h[start] * _power(3) ^ h[start + count + (WINDOW - 1 - ANCHOR)]) + count.astype(np.uint64)
+    return start, count, m[start], signature
+
+
+def _singly(data: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of some pieces: the piece, the start and the hash of each."""
+    piece = np.repeat(np.arange(len(start)), count)
+    at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(len(piece))
+    return piece, at, _hashes(data, WINDOW)[at] ^ _APART
 
 
 def _blocks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -299,21 +331,22 @@ def _key(m: np.ndarray, shards: int) -> np.ndarray:
 
 
 #: Packed columns of an entry. Documents come in planes of 16 bits, of which most are alike.
-_ENTRY = {"upper": np.uint32, "home": np.uint32, "d0": np.uint16, "d1": np.uint16, "d2": np.uint16, "d3": np.uint16}
-_MET = _ENTRY | {"n": np.uint32}
-_CUT = _ENTRY | {"mark": np.int64, "at": np.uint32, "size": np.uint16}
-_CROWDED = np.uint64(1 << 31)
+_KEY = {"upper": np.uint32, "home": np.uint32}
+_MET = _KEY | {f"doc{i}": np.uint16 for i in range(4)} | {"says": np.uint32}
+_SENT = _KEY | {f"{x}{i}": np.uint16 for x in ("first", "last") for i in range(4)} | {"nth": np.uint32, "size": np.uint16}
+_HOT = np.uint64(1 << 31)
 
 
-def _pack(shard: np.ndarray, kinds: dict, key: np.ndarray, doc: np.ndarray, **more: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict]:
+def _pack(shard: np.ndarray, kinds: dict, key: np.ndarray, docs: dict, **more: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict]:
     """Entries sorted by shard: their order, the numbers of entries of each row, and the row's columns."""
     order = np.argsort(shard, kind="stable")
     shard = shard[order]
     at = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
     n = np.diff(np.append(at, len(shard)))
-    planes = doc[order].view(np.uint16).reshape(-1, 4)
-    values = {"upper": key[order] >> np.uint64(32), "home": key[order]} | {f"d{i}": planes[:, i] for i in range(4)}
-    values |= {k: v[order] for k, v in more.items()}
+    values = {"upper": key[order] >> np.uint64(32), "home": key[order]} | {k: v[order] for k, v in more.items()}
+    for name, doc in docs.items():
+        planes = doc[order].view(np.uint16).reshape(-1, 4)
+        values |= {f"{name}{i}": planes[:, i] for i in range(4)}
     columns = {"shard": pa.array(shard[at].astype(np.int32))}
     for k, kind in kinds.items():
         c = values[k].astype(kind)
@@ -321,10 +354,11 @@ def _pack(shard: np.ndarray, kinds: dict, key: np.ndarray, doc: np.ndarray, **mo
     return order, n, columns
 
 
-def _unpack(table: pa.Table, kinds: dict) -> dict:
+def _unpack(table: pa.Table, kinds: dict, docs: tuple[str, ...]) -> dict:
     x = {k: np.frombuffer(b"".join(table.column(k).to_pylist()), kind) for k, kind in kinds.items()}
     x["key"] = x.pop("upper").astype(np.uint64) << np.uint64(32) | x.pop("home")
-    x["doc"] = np.column_stack([x.pop(f"d{i}") for i in range(4)]).view(np.int64)[:, 0]
+    for name in docs:
+        x[name] = np.column_stack([x.pop(f"{name}{i}") for i in range(4)]).view(np.int64)[:, 0]
     return x
 
 
@@ -332,119 +366,143 @@ def _schema(kinds: dict) -> str:
     return "shard int, " + ", ".join(f"{k} binary" for k in kinds)
 
 
-def _met(shards: int):
-    """What a task has to say about its anchors, packed by shard."""
+def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each combination once, ordered by the last column, then the one before it, and so on."""
+    order = np.lexsort(columns)
+    columns = tuple(c[order] for c in columns)
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return tuple(c[new] for c in columns)
+
 
-    def packed(anchors: list, docs: list) -> pa.RecordBatch:
-        key, doc = _key(np.concatenate(anchors), shards), np.concatenate(docs)
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
-        one = np.concatenate(([True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
-        key, doc = key[one], doc[one]
+def _met(shards: int, windows: bool):
+    """What a task has to say about its anchors, packed by shard; or, of given anchors, about their windows."""
+
+    def packed(keys: list, docs: list, signatures: list) -> pa.RecordBatch:
+        every, doc, signature = _key(np.concatenate(keys), shards), np.concatenate(docs), np.concatenate(signatures)
+        contents = np.unique(_distinct(signature, every)[1], return_counts=True)[1]
+        doc, key = _distinct(doc, every)
         first = np.concatenate(([True], key[1:] != key[:-1]))
         n = np.diff(np.append(np.flatnonzero(first), len(key)))
         # the first document speaks for all n; the others (0) are known to share the anchor and go anywhere
         shard = np.where(first, (key & np.uint64(0xFFFFFFFF)).astype(np.int64), doc % shards)
         says = np.zeros(len(key), np.int64)
-        says[first] = n
-        return pa.RecordBatch.from_pydict(_pack(shard, _MET, key, doc, n=says)[2])
+        says[first] = 2 * contents + (n > 1)
+        return pa.RecordBatch.from_pydict(_pack(shard, _MET, key, {"doc": doc}, says=says)[2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, docs, n = [], [], 0
+        held: tuple[list, list, list] = ([], [], [])
+        n = 0
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
+            hot = np.unique(batch.column("anchors").flatten().to_numpy(zero_copy_only=False).view(np.uint64)) if windows else None
             for data, ends, owner, _ in _blocks(batch.column("text").to_pylist()):
-                start, _, m = pieces(data, ends)
-                anchors.append(m)
-                docs.append(ids[owner[np.searchsorted(ends, start, "right")]])
-                n += len(m)
+                start, count, key, signature = pieces(data, ends)
+                doc = ids[owner[np.searchsorted(ends, start, "right")]]
+                if windows:
+                    keep = np.isin(_key(key, shards), hot)
+                    of, _, key = _singly(data, start[keep], count[keep])
+                    doc, signature = doc[keep][of], key
+                for x, y in zip(held, (key, doc, signature), strict=True):
+                    x.append(y)
+                n += len(key)
                 if n >= _FLUSH:
-                    yield packed(anchors, docs)
-                    anchors, docs, n = [], [], 0
+                    yield packed(*held)
+                    held, n = ([], [], []), 0
         if n:
-            yield packed(anchors, docs)
+            yield packed(*held)
+
+    return run
+
+
+def _shared(split: int):
+    """Of one shard: each document and anchor that another document has too, and whether the anchor has over ``split`` contents."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x = _unpack(table, _MET, ("doc",))
+        order = np.argsort(x["key"], kind="stable")
+        key, doc, said = (x[k][order] for k in ("key", "doc", "says"))
+        at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        n = np.diff(np.append(at, len(key)))
+        several = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
+        keep = (said == 0) | (said & 1 == 1) | np.repeat(several, n)
+        hot = np.repeat(np.add.reduceat((said >> 1).astype(np.int64), at) > split, n)
+        return pa.table({"doc_id": pa.array(doc[keep]), "anchor": pa.array(key[keep].view(np.int64)), "hot": pa.array(hot[keep])})
 
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Of one shard: each document and anchor that another document has too, and whether a crowd has it."""
-    x = _unpack(table, _MET)
-    order = np.argsort(x["key"], kind="stable")
-    key, doc, said = (x[k][order] for k in ("key", "doc", "n"))
-    at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    n = np.diff(np.append(at, len(key)))
-    several = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
-    keep = (said != 1) | np.repeat(several, n)
-    crowd = np.repeat(np.add.reduceat(said.astype(np.int64), at) > CROWD, n)
-    return pa.table({"doc_id": pa.array(doc[keep]), "anchor": pa.array(key[keep].view(np.int64)), "crowd": pa.array(crowd[keep])})
+_CONTENTS = {"shard": pa.int32()} | {k: pa.binary() for k in [*_SENT, "data"]}
+_PLACES = {k: pa.binary() for k in ("code", "doc", "mark", "at")}
+_PIECES = {"flush": pa.int64()} | _CONTENTS | _PLACES
 
 
-_CROWD_COLUMNS = {"doc_id": pa.int64(), "mark": pa.int64(), "at": pa.int64(), "anchor": pa.int64(), "piece": pa.binary()}
-_PIECES = {"shard": pa.int32()} | {f"p_{k}": pa.binary() for k in [*_CUT, "data"]} | _CROWD_COLUMNS
+def _combined(data: np.ndarray, size: np.ndarray, first: np.ndarray, last: np.ndarray):
+    """Equal strings: of each string its number; the strings; of each, where it stands first, and its first and last document."""
+    coded = _binary(size, data).dictionary_encode()
+    code = coded.indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    at = np.flatnonzero(np.concatenate(([True], np.diff(code[order]) != 0)))
+    return code, coded.dictionary, order[at], np.minimum.reduceat(first[order], at), np.maximum.reduceat(last[order], at)
 
 
 def _cut_out(shards: int):
-    """Pieces under a shared anchor: packed by shard, or one a row under an anchor of a crowd.
+    """Pieces under shared anchors, equal ones combined: contents packed by shard, and in a row of its own where each stood.
 
     An anchor that one document of the batch shares, all that have it share.
     """
 
-    def rows(columns: dict) -> pa.RecordBatch:
+    def row(columns: dict, flush: int) -> pa.RecordBatch:
         n = len(next(iter(columns.values())))
+        columns["flush"] = pa.array([flush] * n, pa.int64())
         return pa.RecordBatch.from_arrays([columns.get(k, pa.nulls(n, t)) for k, t in _PIECES.items()], names=list(_PIECES))
 
-    def packed(held: list) -> Iterator[pa.RecordBatch]:
+    def packed(held: list, flush: int) -> Iterator[pa.RecordBatch]:
         key, doc, mark, at, size = (np.concatenate([h[i] for h in held]) for i in range(5))
-        data = np.concatenate([h[5] for h in held])
-        begin = np.cumsum(size) - size
-        crowd = (key & _CROWDED) != 0
-        key = key & ~_CROWDED
-        for chosen, alone in ((np.flatnonzero(~crowd), False), (np.flatnonzero(crowd), True)):
-            if not len(chosen):
-                continue
-            if not alone:
-                chosen = chosen[np.lexsort((doc[chosen], key[chosen]))]
-                shard = (key[chosen] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                order, n, columns = _pack(shard, _CUT, key[chosen], doc[chosen], mark=mark[chosen], at=at[chosen], size=size[chosen])
-                chosen = chosen[order]
-            length = size[chosen]
-            took = np.repeat(begin[chosen] - np.cumsum(length) + length, length) + np.arange(length.sum())
-            if alone:
-                one = [doc[chosen], mark[chosen], at[chosen], key[chosen].view(np.int64)]
-                yield rows(dict(zip(_CROWD_COLUMNS, [*map(pa.array, one), _binary(length, data[took])], strict=True)))
-            else:
-                text, upto = data[took], [0, *np.cumsum(length)[np.cumsum(n) - 1].tolist()]
-                press = zstandard.ZstdCompressor(level=1).compress
-                columns["data"] = pa.array([press(text[a:b]) for a, b in zip(upto[:-1], upto[1:], strict=True)], pa.binary())
-                yield rows({k if k == "shard" else f"p_{k}": v for k, v in columns.items()})
+        code, contents, one, first, last = _combined(np.concatenate([h[5] for h in held]), size, doc, doc)
+        press = zstandard.ZstdCompressor(level=1).compress
+        places = (code.astype(np.int32), doc, mark, at.astype(np.uint32))
+        yield row({k: pa.array([press(v.tobytes())], pa.binary()) for k, v in zip(_PLACES, places, strict=True)}, flush)
+        shard = (key[one] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        order, n, columns = _pack(shard, _SENT, key[one], {"first": first, "last": last}, nth=np.arange(len(one)), size=size[one])
+        text = contents.take(pa.array(order))
+        text, upto = b"".join(text.to_pylist()), [0, *np.cumsum(size[one][order])[np.cumsum(n) - 1].tolist()]
+        columns["data"] = pa.array([press(text[a:b]) for a, b in zip(upto[:-1], upto[1:], strict=True)], pa.binary())
+        yield row(columns, flush)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        held, n, flush = [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             told = np.unique(batch.column("anchors").flatten().to_numpy(zero_copy_only=False).view(np.uint64))
-            wanted = told & ~_CROWDED
+            wanted, hot = told & ~_HOT, (told & _HOT) != 0
             order = np.argsort(wanted, kind="stable")
-            told, wanted = told[order], wanted[order]
+            wanted, hot = wanted[order], hot[order]
+            known = lambda key: wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
             ids, marks = batch.column("doc_id").to_numpy(), batch.column("mark").to_numpy()
             for data, ends, owner, offset in _blocks(batch.column("text").to_pylist()):
-                start, count, m = pieces(data, ends)
-                m = _key(m, shards)
-                place = np.minimum(np.searchsorted(wanted, m), len(wanted) - 1)
-                keep = wanted[place] == m
-                start, count, place = start[keep], count[keep], place[keep]
+                start, count, key, _ = pieces(data, ends)
+                key = _key(key, shards)
+                keep = known(key)
+                start, count, key = start[keep], count[keep], key[keep]
+                if len(key) and (apart := hot[np.searchsorted(wanted, key)]).any():
+                    _, at, single = _singly(data, start[apart], count[apart])
+                    single = _key(single, shards)
+                    at, single = at[keep := known(single)], single[keep]
+                    start, key = np.concatenate((start[~apart], at)), np.concatenate((key[~apart], single))
+                    count = np.concatenate((count[~apart], np.ones(len(at), np.int64)))
                 segment = np.searchsorted(ends, start, "right")
-                row = owner[segment]
+                line = owner[segment]
                 at = start - np.concatenate(([0], ends))[segment] + offset[segment]
                 size = count + WINDOW - 1
                 took = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
-                held.append((told[place], ids[row], marks[row], at, size, data[took]))
+                held.append((key, ids[line], marks[line], at, size, data[took]))
                 n += len(start)
                 if n >= _FLUSH // 2:
-                    yield from packed(held)
-                    held, n = [], 0
+                    yield from packed(held, flush)
+                    held, n, flush = [], 0, flush + 1
         if n:
-            yield from packed(held)
+            yield from packed(held, flush)
 
     return run
 
@@ -477,89 +535,91 @@ def _array_runs(contents: pa.Array, first: np.ndarray) -> tuple[np.ndarray, np.n
     return own[runs], a, a + np.diff(np.append(runs, len(at))), known[at[runs]]
 
 
-def _in_shard(table: pa.Table) -> pa.Table:
-    """Of one shard: the byte ranges of each document that an earlier one has."""
-    table = table.rename_columns([c.removeprefix("p_") for c in table.column_names])
-    x = _unpack(table, _CUT)
+_ANSWER = {"nth": np.uint32, "a": np.uint16, "b": np.uint16, "first": np.int64}
+
+
+def _in_shard(array: int):
+    """Of one shard: for each task's contents, the runs of windows that a document before the task's last one has.
+
+    A suffix array takes about ``array`` bytes.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        x = _unpack(table, _SENT, ("first", "last"))
+        flush = np.repeat(table.column("flush").to_numpy(), [len(v) // 2 for v in table.column("size").to_pylist()])
+        unpress = zstandard.ZstdDecompressor().decompress
+        data = np.frombuffer(b"".join(map(unpress, table.column("data").to_pylist())), np.uint8)
+        code, contents, one, first, last = _combined(data, x["size"].astype(np.int64), x["first"], x["last"])
+        key, size = x["key"][one], x["size"][one].astype(np.int64)
+        by_key = np.argsort(key, kind="stable")
+        at = np.flatnonzero(np.concatenate(([True], key[by_key[1:]] != key[by_key[:-1]])))
+        several = np.repeat(np.diff(np.append(at, len(key))) > 1, np.diff(np.append(at, len(key))))
+        alone = by_key[~several]
+        runs = [(alone, np.zeros(len(alone), np.int64), size[alone] - (WINDOW - 1), first[alone])]
+        mixed = by_key[several]
+        # arrays of about ``array`` bytes; the contents of an anchor stay together
+        part = np.cumsum(size[mixed]) // array
+        fresh = np.concatenate(([True], key[mixed[1:]] != key[mixed[:-1]])) if len(mixed) else np.zeros(0, bool)
+        part = np.maximum.accumulate(np.where(fresh, part, 0)) if len(mixed) else part
+        for members in np.split(mixed, np.flatnonzero(np.diff(part)) + 1) if len(mixed) else []:
+            own, a, b, told = _array_runs(contents.take(pa.array(members)), first[members])
+            runs.append((members[own], a, b, told))
+        own, a, b, told = (np.concatenate([r[i] for r in runs]) for i in range(4))
+        keep = np.flatnonzero(told < last[own])
+        keep = keep[np.argsort(own[keep], kind="stable")]
+        own, a, b, told = own[keep], a[keep], b[keep], told[keep]
+        n = np.bincount(own, minlength=len(size))
+        begin = np.cumsum(n) - n
+        row = np.repeat(np.arange(len(code)), n[code])
+        nth = np.repeat(begin[code] - np.cumsum(n[code]) + n[code], n[code]) + np.arange(len(row))
+        hit = told[nth] < x["last"][row]
+        row, nth = row[hit], nth[hit]
+        order = np.argsort(flush[row], kind="stable")
+        row, nth = row[order], nth[order]
+        at = np.flatnonzero(np.concatenate(([True], np.diff(flush[row]) != 0))) if len(row) else np.zeros(0, np.int64)
+        n = np.diff(np.append(at, len(row)))
+        values = {"nth": x["nth"][row], "a": a[nth], "b": b[nth], "first": told[nth]}
+        columns = {k: _binary(n * np.dtype(t).itemsize, values[k].astype(t).view(np.uint8)) for k, t in _ANSWER.items()}
+        return pa.table({"flush": pa.array(flush[row][at], pa.int64())} | columns)
+
+    return run
+
+
+def _spans(places: pa.Table, answers: pa.Table) -> pa.Table:
+    """Of one task's list and the runs of its contents: byte ranges to remove, merged, a row for each document."""
+    if not len(places) or not len(answers):
+        return pa.table({"doc_id": pa.array([], pa.int64()), "mark": pa.array([], pa.int64()), "start": pa.array([], pa.binary()), "end": pa.array([], pa.binary())})
     unpress = zstandard.ZstdDecompressor().decompress
-    data = np.frombuffer(b"".join(map(unpress, table.column("data").to_pylist())), np.uint8)
-    coded = _binary(x["size"].astype(np.int64), data).dictionary_encode()
-    code, contents = coded.indices.to_numpy(), coded.dictionary
-    order = np.argsort(code, kind="stable")
-    at = np.flatnonzero(np.concatenate(([True], np.diff(code[order]) != 0)))
-    first, last = np.minimum.reduceat(x["doc"][order], at), np.maximum.reduceat(x["doc"][order], at)
-    key, size = x["key"][order[at]], x["size"][order[at]].astype(np.int64)
-    by_key = np.argsort(key, kind="stable")
-    at = np.flatnonzero(np.concatenate(([True], key[by_key[1:]] != key[by_key[:-1]])))
-    several = np.repeat(np.diff(np.append(at, len(key))) > 1, np.diff(np.append(at, len(key))))
-    alone = by_key[~several]
-    runs = [(alone, np.zeros(len(alone), np.int64), size[alone] - (WINDOW - 1), first[alone])]
-    mixed = by_key[several]
-    # arrays of about ARRAY bytes; the contents of an anchor stay together
-    part = np.cumsum(size[mixed]) // ARRAY
-    fresh = np.concatenate(([True], key[mixed[1:]] != key[mixed[:-1]])) if len(mixed) else np.zeros(0, bool)
-    part = np.maximum.accumulate(np.where(fresh, part, 0)) if len(mixed) else part
-    for members in np.split(mixed, np.flatnonzero(np.diff(part)) + 1) if len(mixed) else []:
-        own, a, b, told = _array_runs(contents.take(pa.array(members)), first[members])
-        runs.append((members[own], a, b, told))
-    own, a, b, told = (np.concatenate([r[i] for r in runs]) for i in range(4))
-    keep = np.flatnonzero(told < last[own])
-    keep = keep[np.argsort(own[keep], kind="stable")]
-    own, a, b, told = own[keep], a[keep], b[keep], told[keep]
-    n = np.bincount(own, minlength=len(size))
+    kinds = (np.int32, np.int64, np.int64, np.uint32)
+    code, doc, mark, at = (np.frombuffer(unpress(places.column(k)[0].as_py()), t) for k, t in zip(_PLACES, kinds, strict=True))
+    x = {k: np.frombuffer(b"".join(answers.column(k).to_pylist()), t) for k, t in _ANSWER.items()}
+    order = np.argsort(x["nth"], kind="stable")
+    n = np.bincount(x["nth"], minlength=code.max() + 1)
     begin = np.cumsum(n) - n
     row = np.repeat(np.arange(len(code)), n[code])
-    run = np.repeat(begin[code] - np.cumsum(n[code]) + n[code], n[code]) + np.arange(len(row))
-    hit = told[run] < x["doc"][row]
+    run = order[np.repeat(begin[code] - np.cumsum(n[code]) + n[code], n[code]) + np.arange(len(row))]
+    hit = x["first"][run] < doc[row]
     row, run = row[hit], run[hit]
-    start = x["at"][row].astype(np.int64)
-    out = {"doc_id": x["doc"][row], "mark": x["mark"][row], "start": start + a[run], "end": start + b[run] + (WINDOW - 1)}
-    return pa.table({k: pa.array(v) for k, v in out.items()})
-
-
-_SPAN = "doc_id long, mark long, start long, end long"
-
-
-def _content_runs(table: pa.Table) -> pa.Table:
-    """Of some contents of crowds: their runs of windows that have an earlier document than the content's last one."""
-    contents, last = table.column("piece").combine_chunks(), table.column("last").to_numpy()
-    own, a, b, told = _array_runs(contents, table.column("first").to_numpy())
-    keep = told < last[own]
-    own, a, b, told = own[keep], a[keep], b[keep], told[keep]
-    kept, n = np.unique(own, return_counts=True)
-    each = pa.StructArray.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(told)], ["a", "b", "first"])
-    runs = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), each)
-    return pa.table({"anchor": table.column("anchor").take(pa.array(kept)), "piece": contents.take(pa.array(kept)), "runs": runs})
-
-
-def _window_runs(contents: DataFrame) -> DataFrame:
-    """The same by one aggregation over all windows, for anchors with more contents than an array should hold."""
-    where = F.sequence(F.lit(0), F.octet_length("piece") - WINDOW)
-    each = contents.select("anchor", "piece", "first", "last", F.explode(where).alias("a"))
-    each = each.withColumn("window", F.expr(f"substring(piece, a + 1, {WINDOW})"))
-    least = each.groupBy("window").agg(F.min("first").alias("least"))
-    told = each.join(least, "window").where("least < last")
-    run = F.struct("a", (F.col("a") + 1).alias("b"), F.col("least").alias("first"))
-    return told.groupBy("anchor", "piece").agg(F.collect_list(run).cast(_RUNS).alias("runs"))
-
-
-def _crowd_spans(refs: DataFrame) -> DataFrame:
-    """What ``_in_shard`` finds, under the anchors of crowds: their pieces are combined before anything gathers."""
-    contents = refs.groupBy("anchor", "piece").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    contents = cut_lineage(contents)
-    several = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    contents = contents.join(several, "anchor")
-    one = F.struct(F.lit(0).alias("a"), (F.octet_length("piece") - (WINDOW - 1)).alias("b"), "first")
-    alone = contents.where("n = 1 and first < last").select("anchor", "piece", F.array(one).cast(_RUNS).alias("runs"))
-    mixed = contents.where((F.col("n") > 1) & (F.col("n") <= CONTENTS))
-    size = mixed.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
-    mixed = mixed.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-size // ARRAY)))))
-    told = mixed.select("shard", "anchor", "piece", "first", "last").groupBy("shard")
-    told = told.applyInArrow(_content_runs, f"anchor long, piece binary, runs {_RUNS}")
-    told = told.unionByName(alone).unionByName(_window_runs(contents.where(F.col("n") > CONTENTS)))
-    hit = refs.join(told, ["anchor", "piece"])
-    hit = hit.select("doc_id", "mark", "at", F.explode(F.filter("runs", lambda r: r["first"] < F.col("doc_id"))).alias("r"))
-    return hit.select("doc_id", "mark", (F.col("at") + F.col("r.a")).alias("start"), (F.col("at") + F.col("r.b") + (WINDOW - 1)).alias("end"))
+    start = at[row].astype(np.int64) + x["a"][run]
+    end = at[row].astype(np.int64) + x["b"][run] + (WINDOW - 1)
+    doc, mark = doc[row], mark[row]
+    order = np.lexsort((start, mark, doc))
+    doc, mark, start, end = doc[order], mark[order], start[order], end[order]
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])
+    # ends of one document never reach into the next one's numbers
+    far = int(end.max(initial=0)) + 1
+    lane = np.cumsum(fresh) * far
+    upto = np.maximum.accumulate(end + lane)
+    new = np.ones(len(doc), bool)
+    new[1:] = (start + lane)[1:] > upto[:-1]
+    at = np.flatnonzero(new)
+    left, right = start[at], (upto - lane)[np.append(at[1:], len(doc)) - 1] if len(at) else end
+    lead = np.flatnonzero(fresh[at])
+    n = np.diff(np.append(lead, len(at))) * 8
+    return pa.table(
+        {"doc_id": pa.array(doc[at][lead]), "mark": pa.array(mark[at][lead]), "start": _binary(n, left.view(np.uint8)), "end": _binary(n, right.view(np.uint8))}
+    )
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -567,13 +627,15 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
             kept, done, removed, runs = hashlib.sha256(), 0, 0, 0
-            for s in sorted(spans or [], key=lambda s: (s["start"], s["end"])):
-                if s["start"] > done or not runs:
+            start, end = (np.frombuffer(b"".join(s[k] for s in spans or ()), np.int64) for k in ("start", "end"))
+            order = np.argsort(start, kind="stable")
+            for a, b in zip(start[order].tolist(), end[order].tolist(), strict=True):
+                if a > done or not runs:
                     runs += 1
-                    kept.update(text[done : s["start"]])
-                    done = s["start"]
-                removed += max(0, s["end"] - done)
-                done = max(done, s["end"])
+                    kept.update(text[done:a])
+                    done = a
+                removed += max(0, b - done)
+                done = max(done, b)
             kept.update(text[done:])
             rows.append((len(text), removed, runs, kept.hexdigest()))
         columns = list(zip(*rows, strict=True)) if rows else [()] * 4
@@ -584,43 +646,49 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _copies(rows: DataFrame) -> DataFrame:
-    """Rows (doc_id, mark, size) of which an earlier document has the whole text, found by SHA-256."""
-    whole = rows.select("doc_id", F.xxhash64("text").alias("mark"), F.octet_length("text").alias("size"), F.unhex(F.sha2("text", 256)).alias("sha"))
-    first = whole.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    return cut_lineage(whole.join(first.select("sha", "first"), "sha").where("doc_id > first").select("doc_id", "mark", "size"))
+def _typed(columns: dict) -> str:
+    names = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary"}
+    return ", ".join(f"{k} {names[t]}" for k, t in columns.items())
+
+
+def _wanted(rows: DataFrame, scratch: Scratch, shards: int) -> DataFrame:
+    """doc_id, anchors: those that another document has too, the split ones flagged, and the windows of these."""
+    shared = "doc_id long, anchor long, hot boolean"
+    pairs = scratch.save(rows.mapInArrow(_met(shards, False), _schema(_MET)).groupBy("shard").applyInArrow(_shared(SPLIT), shared), "anchors")
+    hot = cut_lineage(pairs.where("hot").select("anchor").distinct())
+    if hot.isEmpty():
+        return pairs.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
+    marked = pairs.join(hot.withColumn("split", F.lit(True)), "anchor", "left")
+    split = scratch.save(marked.where("split").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors")), "split")
+    met = rows.join(split, "doc_id").mapInArrow(_met(shards, True), _schema(_MET))
+    windows = scratch.save(met.groupBy("shard").applyInArrow(_shared(SPLIT), shared), "windows")
+    told = F.when(F.col("split"), F.col("anchor").bitwiseOR(F.lit(_HOT.item()))).otherwise(F.col("anchor"))
+    every = marked.select("doc_id", told.alias("anchor")).unionByName(windows.select("doc_id", "anchor"))
+    return every.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Columns doc_id, mark (hash of the text), start, end: byte ranges to remove, overlapping ones included."""
+    """Columns doc_id, mark (hash of the text), start, end (packed): byte ranges to remove, some rows a document."""
     rows = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW))
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD))
-    pairs = rows.mapInArrow(_met(shards), _schema(_MET)).groupBy("shard").applyInArrow(_shared, "doc_id long, anchor long, crowd boolean")
-    pairs = scratch.save(pairs, "anchors")
-    crowd = pairs.where("crowd").select("anchor", F.lit(_CROWDED.item()).alias("flag")).distinct()
-    told = F.col("anchor").bitwiseOR(F.coalesce("flag", F.lit(0).cast("long")))
-    wanted = pairs.join(crowd, "anchor", "left").groupBy("doc_id").agg(F.collect_list(told).alias("anchors"))
-    copies = _copies(rows)
-    # a copy loses all and adds nothing to what its earliest twin says
-    found = rows.withColumn("mark", F.xxhash64("text")).join(wanted, "doc_id")
-    found = found.join(copies, ["doc_id", "mark"], "left_anti").select("doc_id", "mark", "text", "anchors")
-    kinds = ", ".join(f"{k} {'int' if t == pa.int32() else 'long' if t == pa.int64() else 'binary'}" for k, t in _PIECES.items())
-    cut = scratch.save(found.mapInArrow(_cut_out(shards), kinds), "pieces")
-    scratch.drop("anchors")
-    packed = cut.where("shard is not null").select("shard", *[c for c in _PIECES if c.startswith("p_")])
-    spans = packed.groupBy("shard").applyInArrow(_in_shard, _SPAN)
-    spans = spans.unionByName(_crowd_spans(cut.where("shard is null").select(*_CROWD_COLUMNS)))
-    return spans.unionByName(copies.distinct().select("doc_id", "mark", F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("end")))
+    found = rows.withColumn("mark", F.xxhash64("text")).join(_wanted(rows, scratch, shards), "doc_id")
+    cut = scratch.save(found.select("doc_id", "mark", "text", "anchors").mapInArrow(_cut_out(shards), _typed(_PIECES)), "pieces")
+    for name in ("anchors", "split", "windows"):
+        scratch.drop(name)
+    sent = cut.where("shard is not null").select("flush", *_CONTENTS)
+    answers = sent.groupBy("shard").applyInArrow(_in_shard(ARRAY), "flush long, " + ", ".join(f"{k} binary" for k in _ANSWER))
+    places = cut.where("shard is null").select("flush", *_PLACES)
+    return places.groupBy("flush").cogroup(answers.groupBy("flush")).applyInArrow(_spans, "doc_id long, mark long, start binary, end binary")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     scratch = Scratch(docs.sparkSession)
-    spans = repeated_spans(docs, scratch)
-    spans = scratch.save(spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
-    scratch.drop("pieces")
+    spans = repeated_spans(docs, scratch).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = cut_lineage(spans)
+    scratch.drop()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("text"))
     rows = rows.withColumn("mark", F.xxhash64("text")).join(spans, ["doc_id", "mark"], "left").select("doc_id", "text", "spans")
     return rows.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

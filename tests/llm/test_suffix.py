@@ -18,14 +18,16 @@ def test_suffix_array(symbols, wide):
     assert suffix.suffix_array(t).tolist() == want
 
 
-def test_suffix_array_recursion():
+def test_suffix_array_recursion(monkeypatch):
     rng = np.random.default_rng(1)
     for text in (rng.integers(1, 3, 3000), np.tile([1, 2, 1, 3], 500), rng.integers(1, 250, 20000), np.repeat([3, 1, 2], 400)):
         t = np.append(text, 0)
         raw = (t + 1).astype(">u2").tobytes()
         want = sorted(range(len(t)), key=lambda i: raw[2 * i : 2 * i + 9000])
         assert suffix.suffix_array(t).tolist() == want
-        assert suffix._doubled(np.unique(t, return_inverse=True)[1]).tolist() == want
+        for kind in (suffix._Waves, suffix._Single):
+            monkeypatch.setattr(suffix, "_BUCKETS", 0 if kind is suffix._Single else 1 << 30)
+            assert suffix.suffix_array(t).tolist() == want
 
 
 def test_common_prefixes():
@@ -80,10 +82,11 @@ def corpus(seed, n=120):
     return rows
 
 
-@pytest.mark.parametrize(("crowd", "contents"), [(2048, 1 << 15), (1, 1 << 15), (1, 2)])
-def test_against_brute_force(spark, monkeypatch, crowd, contents):
-    monkeypatch.setattr(suffix, "CROWD", crowd)
-    monkeypatch.setattr(suffix, "CONTENTS", contents)
+@pytest.mark.parametrize(("split", "flush"), [(4096, 1 << 19), (0, 1 << 19), (3, 40), (1, 400)])
+def test_against_brute_force(spark, monkeypatch, split, flush):
+    """Anchors kept together or split into windows, in all or some tasks; many small tasks' lists."""
+    monkeypatch.setattr(suffix, "SPLIT", split)
+    monkeypatch.setattr(suffix, "_FLUSH", flush)
     rows = corpus(3) + [(500, None), (501, ""), (502, "x" * 49), (503, "x" * 50), (504, "x" * 50), (None, "x" * 70)]
     rows += [rows[0], (rows[1][0], "other " + rows[2][1]), (600, rows[5][1]), (601, rows[5][1])]
     docs = spark.createDataFrame([(d, t, "a") for d, t in rows], "doc_id long, text string, spans string")
@@ -103,7 +106,7 @@ def test_segments_of_a_long_text():
     text = bytes(np.random.default_rng(5).integers(97, 123, 3 * suffix._STEP + 77).astype(np.uint8))
     seen = np.zeros(len(text) - 49, int)
     for data, ends, owner, offset in suffix._blocks([text, b"short"]):
-        start, count, _ = suffix.pieces(data, ends)
+        start, count, *_ = suffix.pieces(data, ends)
         at = start - np.concatenate(([0], ends))[np.searchsorted(ends, start, "right")] + offset[np.searchsorted(ends, start, "right")]
         for a, n in zip(at.tolist(), count.tolist(), strict=True):
             seen[a : a + n] += 1
@@ -112,3 +115,15 @@ def test_segments_of_a_long_text():
 
 def test_empty_table(spark):
     assert suffix.dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_common_line_between_different_neighbours(spark, monkeypatch):
+    """One line in all documents, each time between other words: its anchor is split, and no text is lost."""
+    monkeypatch.setattr(suffix, "SPLIT", 50)
+    rng = np.random.default_rng(8)
+    noise = lambda: "".join(rng.choice(list("abcdefghij"), 30))
+    rows = [(i, f"{noise()} click here to read the whole story{'!' * (i % 3)} {noise()}") for i in range(200)]
+    rows += [(300 + i, rows[i][1][10:90]) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = rows_of(suffix.dedup(docs))
+    assert got == brute(rows) and sum(r[2] > 0 for r in got) >= 20
