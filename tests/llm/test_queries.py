@@ -90,10 +90,13 @@ def test_odd_pages(spark):
 
 def test_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (20, [1.0, 0.0]), (40, None), (60, []), (80, [0.0, 0.0]), (100, [1.0, None]), (120, [float("nan"), 1.0]), (3, [2.0, 1.0]), (None, [1.0, 1.0]), (5, [1.0, 0.0, 0.0])]
+    twice = [(0, [0.0, 1.0]), (0, [1.0, 0.0]), (1, [1.0, 0.5])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "vec_id as rank", "vec_id as vec")
     got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in ann.nearest(vectors).collect())
     assert got == [(0, 1, 3, 2.0), (0, 2, 20, 1.0), (20, 1, 3, 2.0), (20, 2, 0, 1.0)]
     assert ann.nearest(vectors.where("false")).collect() == []
+    got = sorted(tuple(r) for r in ann.nearest(spark.createDataFrame(twice, "vec_id long, embedding array<float>")).collect())
+    assert got == [(0, 1, 1, 0.5), (0, 1, 1, 1.0)]
 
 
 @pytest.mark.parametrize("keep", [exact.exact_dedup, simhash.near_dedup, langid.keep_known, mixing.mix_documents])

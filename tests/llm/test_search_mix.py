@@ -23,21 +23,48 @@ def brute_nearest(rows, k=20):
     return out
 
 
-@pytest.mark.parametrize(("shard", "block"), [(8192, 1024), (200, 5)])
-def test_recall(spark, shard, block):
-    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+def jittered(spark):
+    """8000 rows in groups of four around the vectors of sf0.1."""
+    rng = np.random.default_rng(5)
+    base = np.array([r["embedding"] for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()])
+    v = np.repeat(base, 4, axis=0)
+    v = (v + rng.normal(0, 0.05, v.shape))[rng.permutation(len(v))]
+    return spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+
+
+@pytest.mark.parametrize(("table", "shard"), [("sf0.01", 16384), ("sf0.1", 16384), ("sf0.1", 300), ("jittered", 16384)])
+def test_recall(spark, table, shard):
+    vectors = jittered(spark) if table == "jittered" else spark.read.parquet(f"/root/testdata/{table}/embeddings.parquet")
     want = brute_nearest([(r["vec_id"], r["embedding"]) for r in vectors.collect()])
     got: dict = {}
-    for r in ann.nearest(vectors, shard=shard, block=block).orderBy("query_id", "rank").collect():
+    for r in ann.nearest(vectors, shard=shard).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
     assert got.keys() == want.keys() and all(len(x) == 20 for x in got.values())
     assert all(x == sorted(x, key=lambda y: (-y[1], y[0])) for x in got.values())
     right = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    print("recall", table, shard, right / (20 * len(want)))
     assert right / (20 * len(want)) >= 0.9
     exact = {q: dict(x) for q, x in want.items()}
     assert all(s == exact[q][i] for q, x in got.items() for i, s in x if i in exact[q])
 
 
+def test_few_are_verified():
+    """A query verifies a small part of its shard, near the bound that ends its rounds."""
+    v = np.random.default_rng(1).standard_normal((5000, 32))
+    index = ann.Index(np.arange(5000), v)
+    sizes = [len(near) for _, near in index.candidates(v[:100], 20)]
+    assert np.mean(sizes) < 0.08 * 5000 and max(sizes) < 0.2 * 5000 and min(sizes) >= 0.04 * 5000
+
+
+def test_collisions_are_counted():
+    rng = np.random.default_rng(2)
+    bits = rng.integers(0, 2, (37, 3, 128)).astype(np.uint8)
+    digits = ann._sums(np.packbits(bits, axis=2, bitorder="little").view(np.uint64))
+    for least in (1, 17, 20, 37):
+        got = np.unpackbits(ann._at_least(digits, least).view(np.uint8), axis=1, bitorder="little")
+        assert (got == (bits.sum(axis=0) >= least)).all()
+
+
 def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
