@@ -50,12 +50,12 @@ _REACH = _ROOM
 #: The windows of an anchor with more contents than this (summed over tasks) are dealt one by one.
 SPLIT = 4096
 #: Bytes of text behind one group of anchors, which may bring some four times its share of pieces.
-SHARD = 16 << 20
+SHARD = 8 << 20
 #: Bytes of contents in one suffix array.
-ARRAY = 2 << 20
+ARRAY = 1 << 18
 _STEP, _FLUSH = 1 << 16, 1 << 19
-#: Alphabets of more symbols than this have too few suffixes a bucket for array steps; the same steps go one by one.
-_BUCKETS = 1024
+#: With fewer suffixes than this a symbol, array steps do not pay; the same steps go one by one.
+_BUCKET = 128
 _ODD = 0x9E3779B97F4A7C15
 _APART = np.uint64(0x5851F42D4C957F2D)  # hashes of windows are no anchors
 _BYTE = np.random.default_rng(16).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
@@ -130,31 +130,37 @@ class _Single:
     """Induced sorting, one suffix at a time."""
 
     def __init__(self, t: np.ndarray, up: np.ndarray):
-        self.t, self.up = t.tolist(), up.tolist()
         counts = np.bincount(t)
         self.ends = np.cumsum(counts)
         self.starts = self.ends - counts
+        # of each suffix, the bucket of the one that starts before it, if that falls (rises); of no suffix, none
+        before, rises = np.append(np.roll(t, 1), -1), np.append(np.roll(up, 1), False)
+        before[0] = -1
+        self.falling, self.rising = (np.where(x, before, -1).tolist() for x in (~rises, rises))
+        self.t = t
 
     def run(self, lms: np.ndarray) -> np.ndarray:
-        t, up = self.t, self.up
-        sa = [-1] * len(t)
-        tail = self.ends.tolist()
-        for i in lms[::-1].tolist():
-            tail[t[i]] -= 1
-            sa[tail[t[i]]] = i
-        head = self.starts.tolist()
-        for i in sa:  # grows ahead of where it is read
-            if i > 0 and not up[i - 1]:
-                c = t[i - 1]
-                sa[head[c]] = i - 1
-                head[c] += 1
-        tail = self.ends.tolist()
-        for at in range(len(sa) - 1, -1, -1):
-            if (i := sa[at]) > 0 and up[i - 1]:
-                c = t[i - 1]
-                tail[c] -= 1
-                sa[tail[c]] = i - 1
-        sa[0] = len(t) - 1
+        n, falling, rising = len(self.t), self.falling, self.rising
+        sa = np.full(n, n, np.int64)
+        of = self.t[lms]
+        order = np.argsort(of, kind="stable")
+        of = of[order]
+        nth = np.arange(len(of)) - np.searchsorted(of, of)
+        sa[self.ends[of] - np.bincount(of, minlength=len(self.ends))[of] + nth] = lms[order]
+        sa = sa.tolist()
+        head, tail = self.starts.tolist(), self.ends.tolist()
+        for i in sa:  # it grows ahead of where it is read
+            c = falling[i]
+            if c >= 0:
+                at = head[c]
+                sa[at] = i - 1
+                head[c] = at + 1
+        for i in reversed(sa):
+            c = rising[i]
+            if c >= 0:
+                tail[c] = at = tail[c] - 1
+                sa[at] = i - 1
+        sa[0] = n - 1
         return np.array(sa, np.int32)
 
 
@@ -187,7 +193,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     is_lms = np.zeros(len(t), bool)
     is_lms[1:] = up[1:] & ~up[:-1]
     lms = np.flatnonzero(is_lms).astype(np.int32)
-    induction = (_Waves if t.max() < _BUCKETS else _Single)(t, up)
+    induction = (_Waves if len(t) >= _BUCKET * int(t.max()) else _Single)(t, up)
     order = induction.run(lms)
     order = order[is_lms[order]]
     names = _named(t, order, lms)

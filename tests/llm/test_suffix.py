@@ -26,7 +26,7 @@ def test_suffix_array_recursion(monkeypatch):
         want = sorted(range(len(t)), key=lambda i: raw[2 * i : 2 * i + 9000])
         assert suffix.suffix_array(t).tolist() == want
         for kind in (suffix._Waves, suffix._Single):
-            monkeypatch.setattr(suffix, "_BUCKETS", 0 if kind is suffix._Single else 1 << 30)
+            monkeypatch.setattr(suffix, "_BUCKET", 1 << 30 if kind is suffix._Single else 0)
             assert suffix.suffix_array(t).tolist() == want
 
 
