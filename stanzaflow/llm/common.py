@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +18,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     ``spark.checkpoint.dir`` names it on a cluster; only where that setting and
-    the context's own checkpoint folder are unset (tests) is a default set.
+    the context's own checkpoint folder are unset and all runs in one process
+    (tests) is a default set.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isDefined():
             return known.get()
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = _DEFAULT_DIR
         spark.sparkContext.setCheckpointDir(path)
     return path

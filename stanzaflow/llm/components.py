@@ -3,7 +3,9 @@
 Alternating large-star and small-star steps (Kiveris et al., "Connected
 Components in MapReduce and Beyond", 2014): every step is one grouped minimum
 with map-side combining and one equi-join, and the number of steps grows with
-the logarithm of the size. Each pair of steps ends in a reliable checkpoint.
+the logarithm of the size. Each step ends in a reliable checkpoint. The minima
+are checkpointed before they are joined, so that both sides of the join are
+plain exchanges and adaptive execution can split the rows of a hub.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from .common import cut_lineage
 
 
 def _least(links: DataFrame) -> DataFrame:
-    return links.groupBy("u").agg(F.min("v").alias("m"))
+    return cut_lineage(links.groupBy("u").agg(F.min("v").alias("m")))
 
 
 def _large_star(links: DataFrame) -> DataFrame:

@@ -116,7 +116,8 @@ def components(fps: DataFrame) -> DataFrame:
     distinct = cut_lineage(fps.groupBy("fp").agg(F.min("doc_id").alias("root")))
     labels = connected_components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
     labelled = distinct.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    roots = labelled.groupBy("label").agg(F.min("root").alias("component_id"))
+    # cut here, so that both sides of the join are plain exchanges and a large component can be split
+    roots = cut_lineage(labelled.groupBy("label").agg(F.min("root").alias("component_id")))
     return labelled.join(roots, "label").select("fp", "component_id")
 
 
@@ -134,5 +135,5 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     """
     fps = cut_lineage(fingerprints(docs))
     kept = fps.join(components(fps), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    kept = kept.select("doc_id").distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")

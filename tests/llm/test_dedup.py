@@ -98,3 +98,28 @@ def test_exact_salts_and_repeats(spark):
             assert (r["keep_id"], r["group_size"], r["kept"]) == (best[t], size[t], r["doc_id"] == best[t])
     kept = exact.exact_dedup(docs, salts=4).collect()
     assert sorted((r["doc_id"], r["text"] or "", r["keep_id"]) for r in kept) == sorted((b, t, b * 10) for t, b in best.items())
+
+
+def test_exact_with_columns_that_have_no_order(spark):
+    docs = spark.createDataFrame([(1, "a", {"x": 1}, [{"y": 2}]), (3, "a", {"x": 2}, None), (3, "a", {"x": 3}, None), (2, None, None, None)], "doc_id long, text string, m map<string,int>, l array<map<string,int>>")
+    got = sorted((r["doc_id"], r["text"], r["m"]) for r in exact.exact_dedup(docs).collect())
+    assert got == [(2, None, None), (3, "a", {"x": 3})]
+
+
+def test_component_of_many_fingerprints(spark):
+    """A hub of 10^5 nodes, and a chain."""
+    n, m = 100_000, 1000
+    hub = spark.range(1, n).selectExpr("0L as a", "id as b")
+    chain = spark.range(n, n + m - 1).selectExpr("id as a", "id + 1 as b")
+    got = components.connected_components(hub.union(chain)).groupBy("label").count().collect()
+    assert sorted(map(tuple, got)) == [(0, n), (n, m)]
+
+
+def test_crowded_keys_link_through_neighbours(spark, monkeypatch):
+    """Many fingerprints under one key: all that brute force links are linked."""
+    rng = np.random.default_rng(9)
+    fps = {int(i): int(x) for i, x in enumerate({(0xABCD << 48) | (0x1234 << 32) | int(y) for y in rng.integers(0, 4096, 600)})}
+    monkeypatch.setattr(simhash, "BUCKET", 8)
+    signed = [(d, int(np.uint64(f).astype(np.int64))) for d, f in fps.items()]
+    label = {r["fp"]: r["component_id"] for r in simhash.components(spark.createDataFrame(signed, "doc_id long, fp long")).collect()}
+    assert {d: label[f] for d, f in signed} == brute_components(fps)

@@ -41,7 +41,7 @@ def odd_documents(spark):
         (9, "é\u0000\U0001f600\u200b ﬁ", "fr", "a", 4),
     ]
     docs = spark.createDataFrame(rows, DOCS)
-    for extra in ("fp", "text2", "key", "size", "mark", "spans", "held_out", "score", "range", "taken", "_digest", "quality", "component_id"):
+    for extra in ("fp", "text2", "key", "size", "mark", "spans", "held_out", "score", "range", "taken", "_digest", "quality", "component_id", "_id", "_doc", "_text", "_best", "fps", "root", "label", "_salt"):
         docs = docs.selectExpr("*", f"doc_id as `{extra}`")
     return docs
 
