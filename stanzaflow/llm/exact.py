@@ -14,14 +14,17 @@ grouping keys. Spark plans stage 1 as the map side of stage 2.
 Defined results: null text counts as empty; an empty table gives no rows; rows
 with a null doc_id lose against any other; rows that repeat both doc_id and
 text are one document (``exact_dedup`` keeps one row, ``exact_groups`` reports
-each row with the same values); extra columns are carried by ``exact_dedup``
-for the row that stays and ignored by ``exact_groups``.
+each row with the same values; of their other columns those that are last in
+order stay, maps and other types without order compared as text); extra columns
+are carried by ``exact_dedup`` for the row that stays and ignored by
+``exact_groups``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut_lineage, whole_text
 
@@ -57,7 +60,7 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     groups = groups.withColumn(
         "group_size", F.when(F.col("_texts") > 1, F.raise_error(F.lit("two texts share all digests"))).otherwise(F.col("group_size"))
     )
-    # cut here, so that both sides of the join are plain exchanges and a hot group can be split
+    # cut here, which also runs the guard above whatever columns a caller uses, and so that both sides of the join are plain exchanges and a hot group can be split
     groups = cut_lineage(groups.drop("_texts"))
     rows = docs.select("doc_id", *key)
     return rows.join(groups, ["_digest", "_sha", "_len"]).select(
@@ -69,6 +72,15 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     )
 
 
+def _ordered(kind: T.DataType) -> bool:
+    """Whether values of this type can be compared."""
+    if isinstance(kind, T.ArrayType):
+        return _ordered(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_ordered(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def exact_dedup(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """The documents that stay, with all their columns: per text the row with the largest doc_id.
 
@@ -78,7 +90,14 @@ def exact_dedup(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     best = F.struct(F.col("doc_id"), F.col("text").isNotNull().alias("_given"), *[F.col(f"`{c}`") for c in rest])
     rows = docs.select(F.xxhash64(whole_text()).alias("_digest"), whole_text().alias("_text"), best.alias("_best"))
-    won = _combined(rows, [F.max("_best").alias("_best")], [F.max("_best").alias("_best")], salts)
+    odd = [c for c in rest if not _ordered(docs.schema[c].dataType)]
+    if odd:
+        order = [F.col("doc_id"), F.col("text").isNotNull(), *[F.col(f"`{c}`").cast("string") if c in odd else F.col(f"`{c}`") for c in rest]]
+        rows = docs.select(F.xxhash64(whole_text()).alias("_digest"), whole_text().alias("_text"), best.alias("_best"), F.struct(*order).alias("_order"))
+        last = [F.max_by("_best", "_order").alias("_best"), F.max("_order").alias("_order")]
+    else:
+        last = [F.max("_best").alias("_best")]
+    won = _combined(rows, last, last, salts)
     return won.select(
         *[
             F.when(F.col("_best._given"), F.col("_text")).alias("text") if c == "text" else F.col(f"_best.`{c}`").alias(c)
