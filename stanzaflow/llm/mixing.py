@@ -1,9 +1,11 @@
 """Mixing sources to target weights.
 
-Every document gets a hash-random key. Within a source, documents stand in key
-order; key ranges (the first three hex digits) are the distributed blocks whose
-token sums are combined into prefix sums. A source's exact budget then lies in
-one key range, and one key inside it is the cut: documents before it are taken,
+Every document gets a hash-random key, and the rows (id, source, size, key; no
+texts) are range-sorted by source and key. The sorted partitions are the blocks
+whose token sums, by source, are combined into prefix sums: their bounds follow
+the data, so a source of a third of all rows has a third of them. A source's
+exact budget lies in one partition, of which alone running sums are taken, and
+one key inside it is the cut: documents before it are taken,
 those after it not, the one on it gives its first words up to the budget. Whole
 epochs come before the cut epoch. So a row's decision needs only its own key and
 one small row of its source: no text moves and no source gathers in one task.
@@ -26,8 +28,6 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_EPOCHS = 2
 SEED = "mix"
-#: Hex digits of the key that name its range: 4096 ranges a source.
-RANGE_DIGITS = 3
 #: Up to so many sources the plan (one row of some 100 bytes each) is broadcast; beyond, it is joined by source.
 FEW_SOURCES = 100_000
 
@@ -84,7 +84,7 @@ def _cuts(sized: DataFrame, **how) -> tuple[DataFrame, int]:
         & (F.col("r.upto") - F.col("r.words") < F.col("p.rest"))
         & (F.col("r.upto") >= F.col("p.rest")),
     ).select("r.source", "r.range", (F.col("p.rest") - F.col("r.upto") + F.col("r.words")).alias("rest"))
-    # only the rows of the one range a source that holds the cut: about rows / 4096
+    # only the rows of the one sorted partition a source that holds the cut
     inside = sized.alias("s").join(
         _few(hit.alias("h"), sources), F.col("s.source").eqNullSafe(F.col("h.source")) & (F.col("s.range") == F.col("h.range"))
     )
@@ -114,13 +114,15 @@ def _with_plan(rows: DataFrame, plan: DataFrame, sources: int) -> DataFrame:
 
 
 def _sized(docs: DataFrame, seed: str) -> DataFrame:
+    """Range-sorted by source and key; ``range`` is the number of the sorted partition. Saved, since bounds are sampled."""
     rows = docs.select("doc_id", "source", word_count(whole_text()).alias("size"), mix_key(seed).alias("key"))
-    return rows.withColumn("range", F.substring("key", 1, RANGE_DIGITS))
+    rows = cut_lineage(rows).repartitionByRange("source", "key").sortWithinPartitions("source", "key")
+    return cut_lineage(rows.withColumn("range", F.spark_partition_id()))
 
 
 def mix_plan(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words, repeats counted)."""
-    sized = cut_lineage(_sized(docs, seed))
+    sized = _sized(docs, seed)
     return _with_plan(sized, *_cuts(sized, **how)).select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -131,7 +133,7 @@ def mix_documents(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     the budget, whitespace between them kept. Documents without words are never
     taken.
     """
-    plan, sources = _cuts(cut_lineage(_sized(docs, seed)), **how)
+    plan, sources = _cuts(_sized(docs, seed), **how)
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "doc_id", "source")
     inner = inner.withColumn("size", word_count(F.col("_doc.text"))).withColumn("key", mix_key(seed))
     rows = _with_plan(inner, plan, sources).where(F.col("taken") > 0)

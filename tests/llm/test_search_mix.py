@@ -110,6 +110,16 @@ def test_mixing(spark, seed):
     assert mixed == {r["doc_id"]: r["taken"] for r in got if r["taken"]}
 
 
+def test_mixing_one_large_source(spark):
+    """A source of 10^6 rows is spread over many sorted partitions, and its budget is met exactly."""
+    n = 1_000_000
+    docs = spark.range(n + 1000).selectExpr("id as doc_id", "concat('w', if(id % 2 = 0, ' w w', '')) as text", f"if(id < {n}, 'hot', 'z') as source")
+    plan = mixing._sized(docs, mixing.SEED)
+    assert plan.where("source = 'hot'").select("range").distinct().count() > 1
+    got = mixing.mix_plan(docs).groupBy("source_size", "target").agg({"taken": "sum"}).collect()
+    assert {r["source_size"]: r["sum(taken)"] for r in got} == {2 * n: int(next(r["target"] for r in got if r["source_size"] == 2 * n)), 2000: 4000}
+
+
 def test_pipeline_by_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = docs.collect()
