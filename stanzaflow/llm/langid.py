@@ -1,12 +1,14 @@
 """Language identification by the nearest centroid.
 
 A text becomes a unit vector of TF-IDF weights over hashed character 1- to
-3-grams of its lower-cased letters (runs of anything else count as one space).
-Each language has several centroids, found by spherical k-means over a bounded
-sample of its labelled documents; a text gets the language of the centroid with
-the largest cosine, which is its score. A text too far from every centroid is
-rejected: below ``REJECT`` times the low quantile of the training cosines,
-scaled down by the square root of the length for short texts.
+3-grams of its lower-cased letters (runs of anything else count as one space);
+document frequencies are those of all labelled documents that may be learned
+from. Each language has several centroids, found by spherical k-means over a
+bounded sample of them; a text gets the language of the centroid with the
+largest cosine, which is its score. A text too far from every centroid is
+rejected: below ``REJECT`` times the 1% quantile of such cosines (of all those
+documents with ``LONG`` letters or more), scaled down by the square root of the
+length for shorter texts.
 
 Defined results: a null text and one without letters give ``und``, score 0 and
 are rejected, as is everything where nothing could be learned; an empty table
@@ -35,6 +37,8 @@ REJECT = 0.5
 LONG = 200
 UNKNOWN = "und"
 _STEP = 1 << 18
+#: Steps of the cosine in which the quantile is found.
+_BINS = 4096
 
 
 @cache
@@ -112,29 +116,56 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
 
 
-def train(rows: list[tuple[str, np.ndarray, int]], per_language: int = CENTROIDS) -> Model:
-    """rows: (language, counts, letters), in an order that does not change between runs."""
+def train(rows: list[tuple[str, np.ndarray]], documents: int = 0, df: np.ndarray | None = None, per_language: int = CENTROIDS) -> Model:
+    """rows: (language, counts), in an order that does not change between runs; df: of ``documents``, how many have a bucket.
+
+    The model rejects nothing yet.
+    """
     langs = sorted({r[0] for r in rows})
     if not rows:
         return Model([], np.zeros(BUCKETS, np.float32), np.zeros((0, BUCKETS), np.float32), np.zeros(0, int), 0.0)
-    df = np.sum([r[1] > 0 for r in rows], axis=0)
-    idf = np.log((1 + len(rows)) / (1 + df)).astype(np.float32) + 1
-    centroids, owner, cosines = [], [], []
+    idf = np.log((1 + documents) / (1 + df)).astype(np.float32) + 1
+    centroids, owner = [], []
     for i, lang in enumerate(langs):
         x = np.array([_weigh(r[1], idf) for r in rows if r[0] == lang], np.float32)
         c = _cluster(x, min(per_language, len(x)))
         centroids.append(c)
         owner += [i] * len(c)
-        long = np.array([r[2] >= LONG for r in rows if r[0] == lang])
-        cosines += (x[long] @ c.T).max(axis=1).tolist()
-    floor = REJECT * float(np.quantile(cosines, 0.01)) if cosines else 0.0
-    return Model(langs, idf, np.concatenate(centroids), np.array(owner), floor)
+    return Model(langs, idf, np.concatenate(centroids), np.array(owner), 0.0)
 
 
 def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's texts with letters: their number, and how many have each bucket."""
+    n, df = 0, np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            counts, letters = grams(text)
+            if letters:
+                n += 1
+                df += counts > 0
+    yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([df.tolist()], pa.list_(pa.int64()))], names=["n", "df"])
+
+
+def _cosines(model: Model):
+    """How many long texts of a task have which best cosine, in steps."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(_BINS + 1, np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                counts, letters = grams(text)
+                if letters >= LONG:
+                    seen[int(_BINS * min(max(float((model.centroids @ model.vector(counts)).max()), 0.0), 1.0))] += 1
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["step", "n"])
+
+    return run
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [grams(t) for t in batch.column("text").to_pylist()]
@@ -152,9 +183,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from at most ``sample`` documents a language: those with the smallest hash of doc_id.
+    """Learn centroids from at most ``sample`` documents a language: those with the smallest hash of doc_id.
 
-    Only hashed counts of the sample reach the driver.
+    Frequencies and the bound for rejection are of all documents that may be
+    learned from. The driver gets hashed counts of the sample, a frequency a
+    bucket and a count for each step of the cosine.
     """
     known = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.select("lang", "text", F.xxhash64("doc_id").alias("place"))
@@ -171,8 +204,19 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
         if len(per.setdefault(r["lang"], [])) < sample and r["letters"]:
             counts = np.zeros(BUCKETS, np.int64)
             counts[np.frombuffer(r["bucket"], np.int32)] = np.frombuffer(r["count"], np.int32)
-            per[r["lang"]].append((r["lang"], counts, r["letters"]))
-    return train([r for rows in per.values() for r in rows])
+            per[r["lang"]].append((r["lang"], counts))
+    each = known.select("text").mapInArrow(_frequencies, "n long, df array<long>")
+    each = each.select(F.posexplode(F.concat(F.array("n"), "df"))).groupBy("pos").agg(F.sum("col").alias("n")).collect()
+    totals = np.zeros(BUCKETS + 1, np.int64)
+    for r in each:
+        totals[r["pos"]] = r["n"]
+    model = train([r for rows in per.values() for r in rows], int(totals[0]), totals[1:])
+    if model.langs:
+        steps = known.select("text").mapInArrow(_cosines(model), "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).orderBy("step").collect()
+        upto = np.cumsum([r["n"] for r in steps])
+        if len(upto):
+            model.floor = REJECT * steps[int(np.searchsorted(upto, 0.01 * upto[-1]))]["step"] / _BINS
+    return model
 
 
 def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
