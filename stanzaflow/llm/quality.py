@@ -5,8 +5,8 @@ Each passage is encoded from the frequencies of its byte-class bigrams and of
 hashed byte 4-grams by one dense layer; gated attention (Ilse, Tomczak and
 Welling, "Attention-based Deep Multiple Instance Learning", 2018) weighs the
 passages, learned from document labels alone, and the score is a logistic unit
-on the weighted sum. Training runs on a bounded sample of labelled documents,
-and the bias then returns to the share of classes among all of them, so scores
+on the weighted sum. Training runs on a bounded sample of labelled documents (of
+a very long one, ``LEARNED`` passages spread over all of it), and the bias then returns to the share of classes among all of them, so scores
 do not depend on how far the bound reaches; scoring reads every passage of every
 text.
 
@@ -14,7 +14,7 @@ Defined results: null and empty texts are one empty passage and get the score
 the model gives it; without labels of both classes every score is the share of
 label 1 (0.5 if there are none); an empty table gives no rows; repeated rows get
 equal values; a document with several labels counts once, with the smallest
-label; a null doc_id is never held out and never trained on; extra columns are
+label, and one with several texts with the first in order; a null doc_id is never held out and never trained on; extra columns are
 ignored.
 """
 
@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 PASSAGE = 512
 #: Bound on the labelled documents of each class that are learned from.
 SAMPLE = 1500
+#: Bound on the passages of a document that are learned from.
+LEARNED = 64
 HASHED = 512
 HIDDEN = 32
 ATTENTION = 16
@@ -50,13 +52,22 @@ def _classes() -> tuple[np.ndarray, int]:
 
 _CLASS, _N = _classes()
 FEATURES = _N * _N + HASHED
-_STEP = 512 * PASSAGE
+_STEP = 64 * PASSAGE
 
 
-def passages(text: bytes) -> np.ndarray:
-    """One row of features (float32) a passage, over the whole text."""
-    rows = [_encode(text[at : at + _STEP]) for at in range(0, max(len(text), 1), _STEP)]
-    return np.concatenate(rows)
+def passages(text: bytes) -> Iterator[np.ndarray]:
+    """One row of features (float32) a passage, over the whole text, some rows at a time."""
+    for at in range(0, max(len(text), 1), _STEP):
+        yield _encode(text[at : at + _STEP])
+
+
+def _learned(text: bytes, most: int) -> np.ndarray:
+    """Features of up to ``most`` passages, evenly spread."""
+    n = max(1, -(-len(text) // PASSAGE))
+    if n <= most:
+        return np.concatenate(list(passages(text)))
+    at = (np.arange(most) * n // most * PASSAGE).tolist()
+    return np.concatenate([_encode(text[a : a + PASSAGE]) for a in at])
 
 
 def _encode(part: bytes) -> np.ndarray:
@@ -88,12 +99,16 @@ class Model:
     def score(self, text: bytes) -> float:
         if not self.weights:
             return self.prior
-        x = (passages(text) - self.mean) / self.spread
         w = self.weights
-        h = np.maximum(x @ w["enc"] + w["enc0"], 0)
-        a = (np.tanh(h @ w["v"]) * _sigmoid(h @ w["u"])) @ w["a"]
-        a = np.exp(a - a.max())
-        return float(_sigmoid(a @ h / a.sum() @ w["out"] + w["out0"])[0])
+        most, weight, bag = -np.inf, 0.0, 0.0  # of the attention so far: its maximum, sum, and weighted passages
+        for x in passages(text):
+            h = np.maximum((x - self.mean) / self.spread @ w["enc"] + w["enc0"], 0)
+            a = (np.tanh(h @ w["v"]) * _sigmoid(h @ w["u"])) @ w["a"]
+            top = max(most, float(a.max()))
+            a = np.exp(a - top)
+            fade = np.exp(most - top)
+            most, weight, bag = top, weight * fade + a.sum(), bag * fade + a @ h
+        return float(_sigmoid(bag / weight @ w["out"] + w["out0"])[0])
 
 
 def _sigmoid(x):
@@ -159,11 +174,16 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = pc.cast(batch.column("text"), pa.binary())
-        x = [passages(t.as_py() or b"").astype(np.float16).tobytes() for t in texts]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(x, pa.binary())], names=["doc_id", "quality", "bag"])
+def _bags(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), 64):
+                batch = whole.slice(at, 64)
+                texts = pc.cast(batch.column("text"), pa.binary())
+                x = [_learned(t.as_py() or b"", most).astype(np.float16).tobytes() for t in texts]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(x, pa.binary())], names=["doc_id", "quality", "bag"])
+
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -182,8 +202,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         return train([], np.array([float(q) for q in sizes]))
     share = F.when(F.col("quality") == 1, min(1.0, 1.2 * sample / sizes[1])).otherwise(min(1.0, 1.2 * sample / sizes[0]))
     picked = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000 < share)
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "quality", "text")
-    rows = rows.mapInArrow(_bags, "doc_id long, quality int, bag binary").collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.first("quality").alias("quality"), F.min("text").alias("text"))
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "text").mapInArrow(_bags(LEARNED), "doc_id long, quality int, bag binary").collect()
     seen: dict[int, int] = {}
     kept = []
     for r in sorted(rows, key=lambda r: (r["doc_id"] * 0x9E3779B1 % 2**32, r["doc_id"], bytes(r["bag"]))):
