@@ -11,7 +11,7 @@ its own substrings or tokens ask for.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no
 rule, and the verdict of the class priors; without any url that a rule decides,
-the verdict is allow; an empty table gives no rows; repeated rows get equal
+all odds are even and the verdict is allow; an empty table gives no rows; repeated rows get equal
 values; a null page_id is passed on; extra columns are ignored.
 """
 
@@ -186,8 +186,6 @@ def token_counts(rows: DataFrame, splits: DataFrame) -> DataFrame:
 
 def bayes(urls, tokens: DataFrame) -> Bayes:
     """``urls``: counts n of urls that a rule decides, b of blocked ones."""
-    if not urls["n"]:
-        return Bayes(1.0, 1.0, -1.0)
     totals = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("v")).first()
     blocked, allowed = totals["b"] + totals["v"] + 1, totals["n"] - totals["b"] + totals["v"] + 1
     return Bayes(blocked, allowed, math.log((urls["b"] + 1) / (urls["n"] - urls["b"] + 1)))

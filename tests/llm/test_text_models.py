@@ -58,6 +58,51 @@ def test_long_text_counts_whole():
     assert m == n and (again == counts).all()
 
 
+def test_by_brute_force(spark, sf_dir):
+    """Frequencies of all training documents, cosines, the floor and the nearest centroid, gram by gram."""
+    import zlib
+    from collections import Counter
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.fit(docs)
+    cell = lambda g: int(langid._hash(*[np.array([ord(c)], np.uint32) for c in g])[0])
+    cells: dict = {}
+
+    def counts(text):
+        low = (text or "").lower()
+        line = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in " " + low + " "))
+        out = Counter()
+        for i in range(1, len(line)):
+            for g in {line[i - k : i + 1] for k in range(min(i, 2) + 1)}:
+                out[cells.setdefault(g, cell(g))] += 1
+        return out, sum(c.isalpha() for c in low)
+
+    rows = docs.collect()
+    known = [counts(r["text"]) for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1 and r["lang"] is not None and r["text"] is not None]
+    known = [(c, n) for c, n in known if n]
+    df = Counter(b for c, _ in known for b in c)
+    idf = [np.log((1 + len(known)) / (1 + df[b])) + 1 for b in range(langid.BUCKETS)]
+    assert model.idf == pytest.approx(idf, rel=1e-5)
+
+    def nearest(c):
+        w = {b: np.log1p(n) * idf[b] for b, n in c.items()}
+        norm = np.sqrt(sum(x * x for x in w.values()))
+        cosines = [sum(x * float(centre[b]) for b, x in w.items()) / norm for centre in model.centroids]
+        best = int(np.argmax(cosines))
+        return model.langs[model.lang_of[best]], cosines[best]
+
+    long = sorted(nearest(c)[1] for c, n in known if n >= langid.LONG)
+    assert model.floor == pytest.approx(langid.REJECT * long[int(np.ceil(0.01 * len(long))) - 1], abs=1e-3)
+    got = {r["doc_id"]: r for r in langid.predict(docs, model).collect()}
+    for r in rows[:150]:
+        c, n = counts(r["text"])
+        if not n:
+            assert got[r["doc_id"]]["lang_pred"] == "und"
+            continue
+        lang, cosine = nearest(c)
+        assert got[r["doc_id"]]["score"] == pytest.approx(min(max(cosine, 0), 1), abs=1e-4) and got[r["doc_id"]]["lang_pred"] == lang
+
+
 def test_rejects_far_texts(spark, docs):
     model = langid.fit(docs)
     assert model.predict("zzqxw vvkjq xxzzq " * 40)[2]
@@ -284,6 +329,70 @@ def test_rare_words_count_in_large_vocabularies(spark):
     assert [got[i]["verdict"] for i in (-1, -2, -3)] == ["block", "block", "allow"]
 
 
+def brute_urls(urls):
+    """Counts, likeliest splits by trying all cuts, and naive Bayes, url by url: block odds of those that no rule decides."""
+    from collections import Counter
+
+    def rule_of(host, path):
+        fits = [(len(t), v) for v, t in urlfilter.RULES if (host == (n := t.partition("/")[0]) or host.endswith("." + n)) and path.startswith("/" + t.partition("/")[2])]
+        return max(fits)[1] if fits else None
+
+    rows = []
+    for url in urls:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        names = [("h", x) for x in re.findall(r"[a-z0-9]+", host.lower())] + [("p", x) for x in re.findall(r"[a-z0-9]+", path.lower())]
+        rows.append((rule_of(host.lower(), path), names))
+    counts = Counter(x for _, names in rows for _, x in names if not x.isdigit())
+    total = sum(counts.values())
+
+    def best(name):
+        cost = lambda w: np.log(counts[w] / total) if counts[w] else -np.log(total) - len(w) * np.log(10)
+        cuts = ([name[a:b] for a, b in zip([0, *c], [*c, len(name)], strict=True)] for n in range(len(name)) for c in itertools.combinations(range(1, len(name)), n))
+        return max(cuts, key=lambda x: sum(map(cost, x)))
+
+    splits = {x: best(x) for x in {x for _, names in rows for _, x in names}}
+    tokens = lambda names: [t for k, x in names for t in (["p:#"] if k == "p" and x.isdigit() else [f"{k}:{w}" for w in splits[x]])]
+    n, b = Counter(), Counter()
+    for verdict, names in rows:
+        if verdict:
+            n.update(tokens(names))
+            b.update(tokens(names) if verdict == "block" else [])
+    blocked, allowed = sum(b.values()) + len(n) + 1, sum(n.values()) - sum(b.values()) + len(n) + 1
+    prior = np.log((sum(v == "block" for v, _ in rows) + 1) / (sum(v == "allow" for v, _ in rows) + 1))
+    return splits, [None if v else prior + sum(np.log((b[t] + 1) / blocked) - np.log((n[t] - b[t] + 1) / allowed) for t in tokens(x)) for v, x in rows]
+
+
+def test_concatenated_hosts_by_brute_force(spark):
+    """Hosts of run-together words, most of them seen apart elsewhere: splits and odds equal those of all cuts."""
+    rng = np.random.default_rng(6)
+    words = ["news", "shop", "pill", "casa", "blog", "web", "art"]
+    urls = []
+    for i in range(260):
+        w = rng.choice(words, 3)
+        host = f"{w[0]}{w[1]}" if i % 3 else f"{w[0]}-{w[1]}"
+        urls.append(f"http://{host}.{rng.choice(['com', 'net', 'org'])}/{rng.choice(['de', 'fr', 'en'])}/{w[2]}/{i % 7}")
+    splits, odds = brute_urls(urls)
+    assert sum(len(x) > 1 for x in splits.values()) >= 10
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: r for r in urlfilter.judge(pages).collect()}
+    for i, want in enumerate(odds):
+        assert (got[i]["block_odds"] is None) == (want is None)
+        if want is not None:
+            assert got[i]["block_odds"] == pytest.approx(want, abs=1e-9) and got[i]["verdict"] == ("block" if want > 0 else "allow")
+    names = urlfilter.name_counts(urlfilter.parts(pages))
+    assert {r["name"]: r["words"] for r in urlfilter.split_names(names).collect()} == splits
+
+
+def test_long_and_tied_urls(spark):
+    long = "http://x.net/" + "segment/" * 5000
+    pages = spark.createDataFrame([(1, long), (2, "http://a.net/"), (2, "http://a.net/"), (3, "http://a.net/")], "page_id long, url string")
+    got = sorted(tuple(r) for r in urlfilter.judge(pages).collect())
+    assert [r[0] for r in got] == [1, 2, 2, 3] and got[0][2] == "/" + "segment/" * 5000
+    assert len({r[1:] for r in got[1:]}) == 1 and all(r[4] == "allow" for r in got)
+
+
 LONG = "internationalbusinessmachinesarchive"
 
 
@@ -358,10 +467,65 @@ def test_held_out_quality(spark):
 def test_every_passage_counts():
     text = (b"plain words here. " * 300)[: quality.PASSAGE * 4]
     changed = text[: quality.PASSAGE * 3] + b"@#$%&*" * 85
-    a, b = quality.passages(text), quality.passages(changed)
+    a, b = (np.concatenate(list(quality.passages(t))) for t in (text, changed))
     assert len(a) == 4 and (a[:3] == b[:3]).all() and not (a[3] == b[3]).all()
 
 
+def random_model(seed=4):
+    rng = np.random.default_rng(seed)
+    shape = {"enc": (quality.FEATURES, 8), "v": (8, 4), "u": (8, 4), "a": (4,), "out": (8, 1), "enc0": (8,), "out0": (1,)}
+    return quality.Model(np.full(quality.FEATURES, 0.01), np.full(quality.FEATURES, 0.1), {k: rng.standard_normal(s) for k, s in shape.items()}, 0.5)
+
+
+def brute_score(model, text):
+    """Features counted byte by byte; attention over all passages at once."""
+    w, rows = model.weights, []
+    for at in range(0, max(len(text), 1), quality.PASSAGE):
+        part = text[at : at + quality.PASSAGE]
+        x = np.zeros(quality.FEATURES)
+        before = text[max(0, at - 3) : at] if at % quality._STEP else b""
+        line = before + part
+        for i in range(len(before), len(line)):
+            if i >= 1:
+                x[quality._CLASS[line[i - 1]] * quality._N + quality._CLASS[line[i]]] += 1
+            if i >= 3:
+                code = int.from_bytes(line[i - 3 : i + 1], "little") * 0x9E3779B1 % 2**32
+                x[quality._N**2 + (code >> 23)] += 1
+        x = np.sqrt(x)
+        rows.append(x / max(np.linalg.norm(x), 1e-6))
+    h = [np.maximum((x - model.mean) / model.spread @ w["enc"] + w["enc0"], 0) for x in rows]
+    e = np.array([np.dot(np.tanh(x @ w["v"]) / (1 + np.exp(-(x @ w["u"]))), w["a"]) for x in h])
+    a = np.exp(e) / np.exp(e).sum()
+    z = sum(x * y for x, y in zip(a, h, strict=True)) @ w["out"] + w["out0"]
+    return 1 / (1 + np.exp(-z[0]))
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 511, 512, 513, 5000, 70_000])
+def test_score_by_brute_force(n):
+    text = bytes(np.random.default_rng(n).integers(0, 256, n).astype(np.uint8))
+    model = random_model()
+    assert model.score(text) == pytest.approx(brute_score(model, text), abs=1e-5)
+
+
+def test_very_long_text_in_bounded_memory():
+    import tracemalloc
+
+    text = b"plain words, here and there. " * 700_000  # 20 MB
+    model = random_model()
+    tracemalloc.start()
+    s = model.score(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 <= s <= 1 and peak < 8e6
+
+
+def test_learned_passages_are_bounded():
+    text = b"some words. " * 50_000
+    every = np.concatenate(list(quality.passages(text)))
+    few = quality._learned(text, 16)
+    assert len(few) == 16 and len(quality._learned(text[:5000], 16)) == 10 and len(every) > 1000
+
+
 def test_sampling_leaves_the_share_of_classes(spark):
     """Texts that tell nothing get the share of label 1 among all labelled documents, however few are sampled."""
     docs = spark.range(1500).select(F.col("id").alias("doc_id"), F.lit("plain words here. " * 40).alias("text"))
