@@ -262,24 +262,27 @@ def itemprops(root: Node) -> dict[str, str]:
 
 
 def templates(wikitext: str) -> list[tuple[str, dict[str, str]]]:
-    """Templates in order of their opening braces: name and arguments (positional ones by number)."""
-    opened, found = [], []
-    for m in re.finditer(r"\{\{|\}\}", wikitext):
+    """Templates in order of their opening braces: name and arguments (positional ones by number).
+
+    One pass: each open template keeps where its own bars are; bars in links or in inner templates are not its own.
+    """
+    opened: list[tuple[int, list[int], list[int]]] = []  # start, bars, depth of links
+    found = []
+    for m in re.finditer(r"\{\{|\}\}|\[\[|\]\]|\|", wikitext):
         if m[0] == "{{":
-            opened.append(m.start())
-        elif opened:
-            found.append((opened.pop(), m.start()))
+            opened.append((m.start(), [], [0]))
+        elif not opened:
+            continue
+        elif m[0] == "}}":
+            start, bars, _ = opened.pop()
+            found.append((start, m.start(), bars))
+        elif m[0] != "|":
+            opened[-1][2][0] += 1 if m[0] == "[[" else -1
+        elif opened[-1][2][0] == 0:
+            opened[-1][1].append(m.start())
     out = []
-    for a, b in sorted(found):
-        parts, depth, at = [], 0, a + 2
-        body = wikitext[a + 2 : b]
-        for m in re.finditer(r"\{\{|\[\[|\}\}|\]\]|\|", body):
-            if m[0] == "|" and depth == 0:
-                parts.append(wikitext[at : a + 2 + m.start()])
-                at = a + 2 + m.end()
-            elif m[0] != "|":
-                depth += 1 if m[0] in ("{{", "[[") else -1
-        parts.append(wikitext[at:b])
+    for start, end, bars in sorted(found):
+        parts = [wikitext[a:b] for a, b in zip([start + 2, *(x + 1 for x in bars)], [*bars, end], strict=True)]
         args, n = {}, 0
         for p in parts[1:]:
             name, eq, value = p.partition("=")
@@ -292,31 +295,67 @@ def templates(wikitext: str) -> list[tuple[str, dict[str, str]]]:
     return out
 
 
+def _without_templates(code: str) -> str:
+    """Pairs of double braces go with what they hold, unless a brace without a partner is left inside."""
+    out: list[str] = []
+    opened: list[list] = []  # where in ``out``, and whether all inside is gone
+    at = 0
+    for m in re.finditer(r"\{+|\}+", code):
+        out.append(code[at : m.start()])
+        at, n = m.end(), len(m[0])
+        lone = m[0][0] if n % 2 else ""
+        if m[0][0] == "{":
+            out.append(lone)
+            if lone and opened:
+                opened[-1][1] = False
+            for _ in range(n // 2):
+                opened.append([len(out), True])
+                out.append("{{")
+            continue
+        for _ in range(n // 2):
+            if opened and opened[-1][1]:
+                del out[opened.pop()[0] :]
+                continue
+            if opened:
+                opened.pop()
+            out.append("}}")
+            if opened:
+                opened[-1][1] = False
+        out.append(lone)
+        if lone and opened:
+            opened[-1][1] = False
+    return "".join(out) + code[at:]
+
+
 def _stripped(code: str) -> str:
     """Wikitext without its markup."""
-    before = None
-    while before != code:
-        before, code = code, re.sub(r"\{\{[^{}]*\}\}", "", code)
+    code = _without_templates(code)
     code = re.sub(r"\[\[(?:[^\[\]|]*\|)?([^\[\]]*)\]\]", r"\1", code)
     return re.sub(r"<[^>]*>|'{2,}", "", code).strip()
 
 
+# fixed values: names of templates, their arguments and what they fill
+_AUTHOR_TEMPLATES = ("auteur", "author")
+_TITLE_TEMPLATE, _TITLE_ARGS = "titre", (("auteur", "author"), ("recueil", "source_collection"))
+_EDITION_TEMPLATE, _EDITION_ARGS = "infoédit", (("ANNÉE", "publication_date"), ("RECUEIL", "source_collection"))
+
+
 def wikitext_metadata(wikitext: str | None) -> dict[str, str]:
     """Author, date and collection from templates; the first value of each stays, even if empty."""
     out: dict[str, str] = {}
     for name, args in templates(wikitext or ""):
         kind = name.lower()
-        if kind in ("auteur", "author") and "1" in args:
+        if kind in _AUTHOR_TEMPLATES and "1" in args:
             out.setdefault("author", args["1"])
-        elif kind == "titre":
-            for arg, key in (("auteur", "author"), ("recueil", "source_collection")):
+        elif kind == _TITLE_TEMPLATE:
+            for arg, key in _TITLE_ARGS:
                 if arg in args:
                     out.setdefault(key, args[arg])
-        elif kind == "infoédit":
+        elif kind == _EDITION_TEMPLATE:
             if "AUTEUR" in args:
                 link = re.search(r"\[\[([^\[\]|]*)", args["AUTEUR"])
                 out.setdefault("author", link[1].split(":")[-1].strip() if link else _stripped(args["AUTEUR"]))
-            for arg, key in (("ANNÉE", "publication_date"), ("RECUEIL", "source_collection")):
+            for arg, key in _EDITION_ARGS:
                 if arg in args:
                     out.setdefault(key, _stripped(args[arg]))
     return out
@@ -329,6 +368,7 @@ PARSED = (
     ", ".join(f"{s} boolean" for s in _SIGNALS)
     + ", block_texts array<string>, raw_markers array<string>, items array<struct<title:string,kind:string>>, sub_titles array<string>, "
     + ", ".join(f"{m} string" for m in _ITEMPROPS.values())
+    + ", error string"
 )
 
 
@@ -349,17 +389,25 @@ def parse(html: str | None, title: str | None, lang: str = "fr", block: str = "p
         "items": [{"title": a, "kind": b} for a, b in page.items(content)],
         "sub_titles": hub_titles(root, page),
     }
-    return out | {m: None for m in _ITEMPROPS.values()} | itemprops(root)
+    return out | {m: None for m in _ITEMPROPS.values()} | itemprops(root) | {"error": None}
+
+
+def _contained(html, title, *how) -> dict:
+    """What ``parse`` gives; of a page that it cannot read, only the error."""
+    try:
+        return parse(html, title, *how)
+    except Exception as e:  # one page must not end the run
+        return {"error": f"{type(e).__name__}: {e}"[:200]}
 
 
 def parse_page(html: Column, title: Column, lang: str = "fr", block: str = "poem", content: str = "mw-parser-output") -> Column:
-    """All that the tree of a page gives, as one struct; null where a page cannot be read."""
+    """All that the tree of a page gives, as one struct; where a page cannot be read, all but ``error`` is null."""
 
     @F.pandas_udf(PARSED)
     def run(html: pd.Series, title: pd.Series) -> pd.DataFrame:
         names = [p.split()[0] for p in PARSED.split(", ")]
-        found = [parse(h, x, lang, block, content) for h, x in zip(html, title, strict=True)]
-        return pd.DataFrame({n: pd.Series([x[n] for x in found], dtype=object) for n in names})
+        found = [_contained(h, x, lang, block, content) for h, x in zip(html, title, strict=True)]
+        return pd.DataFrame({n: pd.Series([x.get(n) for x in found], dtype=object) for n in names})
 
     return run(html, title)
 
@@ -368,27 +416,40 @@ def wikitext(c: Column) -> Column:
     """Struct of the metadata that templates give."""
     names = ("author", "publication_date", "source_collection")
 
+    def contained(code: str | None) -> dict:
+        try:
+            return wikitext_metadata(code)
+        except Exception:  # as if there were no templates
+            return {}
+
     @F.pandas_udf(", ".join(f"{n} string" for n in names))
     def run(code: pd.Series) -> pd.DataFrame:
-        found = [wikitext_metadata(x) for x in code]
+        found = [contained(x) for x in code]
         return pd.DataFrame({n: pd.Series([x.get(n) for x in found], dtype=object) for n in names})
 
     return run(c)
 
 
+# fixed values: categories that decide a page's type
+_BOOKS, _EDITIONS = "Recueils de poèmes", "Éditions multiples"
+# fixed values: why a page gives no record
+UNREADABLE, NO_STANZAS = "PageProcessingError", "PoemParsingError"
+
+
 def stanzas(parsed: Column) -> Column:
     return F.flatten(F.transform(parsed["block_texts"], t.split_stanzas))
 
 
 def page_type(parsed: Column, namespace: Column, title: Column, categories: Column, lang: str = "fr") -> Column:
-    """struct<type, reason>: the first rule that holds."""
+    """struct<type, reason>: the first rule that holds; null for a page that could not be read."""
     cats = F.transform(categories, t.after_colon)
     has = lambda name: F.coalesce(F.array_contains(cats, name), F.lit(False))
     out = lambda kind, reason: F.struct(F.lit(kind).alias("type"), F.lit(reason).alias("reason"))
     poem, hub, book, other = "POEM", "MULTI_VERSION_HUB", "POETIC_COLLECTION", "OTHER"
-    case = F.when((namespace != 0) & title.startswith(f"{lk.prefix(lang, 'author')}:"), out("AUTHOR", "is_author_page"))
+    case = F.when(parsed["error"].isNotNull(), F.lit(None))
+    case = case.when((namespace != 0) & title.startswith(f"{lk.prefix(lang, 'author')}:"), out("AUTHOR", "is_author_page"))
     case = case.when(namespace != 0, out(other, "is_other_namespace"))
-    case = case.when(has("Recueils de poèmes"), out(book, "is_recueil_cat")).when(has("Éditions multiples"), out(hub, "is_multiversion_cat"))
+    case = case.when(has(_BOOKS), out(book, "is_recueil_cat")).when(has(_EDITIONS), out(hub, "is_multiversion_cat"))
     for key in ("ws_summary", "toc", "editions_header"):
         case = case.when(parsed[key] & parsed["wikidata"], out(hub, f"has_donnees_structurees and {key}")).when(parsed[key], out(book, key))
     case = case.when(F.size(stanzas(parsed)) > 0, out(poem, "has_poem_structure"))
@@ -401,3 +462,12 @@ def classify(pages: DataFrame, lang: str = "fr", block: str = "poem", content: s
     parsed = pages.withColumn("parsed", parse_page(F.col("html"), F.col("title"), lang, block, content))
     typed = parsed.withColumn("_t", page_type(F.col("parsed"), F.col("namespace"), F.col("title"), F.col("categories"), lang))
     return typed.withColumn("type", F.col("_t.type")).withColumn("reason", F.col("_t.reason")).drop("_t")
+
+
+def rejects(classified: DataFrame) -> DataFrame:
+    """page_id, title, reject, detail: pages that could not be read, and poems without a stanza."""
+    error = F.col("parsed.error")
+    empty = (F.col("type") == "POEM") & (F.size(stanzas(F.col("parsed"))) == 0)
+    reject = F.when(error.isNotNull(), F.lit(UNREADABLE)).when(empty, F.lit(NO_STANZAS))
+    rows = classified.withColumn("reject", reject).where(F.col("reject").isNotNull())
+    return rows.select("page_id", "title", "reject", F.coalesce(error, F.lit("no stanza")).alias("detail"))

@@ -63,6 +63,7 @@ def clean_title(c: Column) -> Column:
 
 def clean_author(c: Column) -> Column:
     name = strip(c)
+    # fixed values: what surrounds names
     steps = [
         (r"(?U)^[Aa]uteur\s*:\s*", ""),
         (r"(?iuU)\s*-\s*non signé", ""),

@@ -77,12 +77,39 @@ def without(ids: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def infer_parent(poems: DataFrame, collections: DataFrame) -> DataFrame:
-    """collection_page_id of the collection whose title is the first path segment of the poem's title."""
-    parents = collections.select(F.col("title").alias("_parent"), F.col("page_id").alias("parent_id"))
+    """parent_id: the collection whose title is the first path segment of the poem's title; of several, the largest id."""
+    parents = collections.groupBy(F.col("title").alias("_parent")).agg(F.max("page_id").alias("parent_id"))
     first = F.when(F.col("title").contains("/"), F.element_at(F.split("title", "/"), 1))
     return poems.join(parents, first == F.col("_parent"), "left").drop("_parent")
 
 
+def upward(records: DataFrame, ids: DataFrame, done: DataFrame) -> DataFrame:
+    """page_id of the collections that poems without one name in their metadata, and that are not done yet."""
+    lacking = records.where(F.col("collection_page_id").isNull() & (F.col("metadata.source_collection") != ""))
+    named = lacking.select(F.col("metadata.source_collection").alias("title")).distinct()
+    return without(resolve(named, ids).where("page_id is not null"), done)
+
+
+def follow(frame: DataFrame, redirects: DataFrame) -> DataFrame:
+    """page_id led over redirects (source, resolved); ids that are no redirect stay, and those that lead nowhere become null."""
+    ahead = redirects.select(F.col("source").alias("_source"), F.col("resolved").alias("_resolved"))
+    out = frame.join(ahead, F.col("page_id") == F.col("_source"), "left")
+    return out.withColumn("page_id", F.when(F.col("_source").isNull(), F.col("page_id")).otherwise(F.col("_resolved"))).drop("_source", "_resolved")
+
+
+def pending(found: DataFrame, seen: DataFrame) -> DataFrame:
+    """Feedback rows (page_id, has_context) that still have work to do: not seen, or seen without the context they bring."""
+    best = found.groupBy("page_id").agg(F.max("has_context").alias("has_context"))
+    known = seen.groupBy("page_id").agg(F.max("has_context").alias("_had"))
+    out = best.join(known, "page_id", "left")
+    return out.where(F.col("_had").isNull() | (F.col("has_context") & ~F.col("_had"))).drop("_had")
+
+
+def child_counts(items: DataFrame) -> DataFrame:
+    """collection_id, poems, sections: what each collection lists."""
+    return items.groupBy("collection_id").agg(F.count_if(F.col("kind") == "POEM").alias("poems"), F.count_if(F.col("kind") == "SECTION_TITLE").alias("sections"))
+
+
 def build(items: DataFrame, ids: DataFrame, pending: DataFrame) -> DataFrame:
     """page_id, collection_id, section_title, poem_order, is_first_poem of pending poems that collections list.
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stanzaflow.functions import links, markup, text
+from stanzaflow.operators import context, graph
 
 
 def one(spark, value, f, kind="string"):
@@ -145,3 +146,48 @@ def test_tree_repair():
     root = markup.tree("<p>a<p>b<ul><li>c<li>d</ul><script>'</p>'</script><b>e")
     names = [n.name for n in root.walk()]
     assert names == ["p", "p", "ul", "li", "li", "script", "b"]
+
+
+def test_templates_in_linear_time():
+    deep = "{{titre|auteur=" * 4000 + "x" + "}}" * 4000
+    assert len(markup.templates(deep)) == 4000
+    assert markup.templates("{{a|[[b|c]]|{{d|e}}|x=[[y|z]]|{{t}}=1}}") == [("a", {"1": "[[b|c]]", "2": "{{d|e}}", "x": "[[y|z]]", "3": "{{t}}=1"}), ("d", {"1": "e"}), ("t", {})]
+    assert markup._stripped("a{{b{{c}}d}}e" + "{{" * 5000 + "}}" * 5000) == "ae"
+    assert markup._stripped("{{{x}}} {{a{b}} }} {{c") == "{} {{a{b}} }} {{c"
+
+
+def test_one_bad_page_is_contained(spark, monkeypatch):
+    pages = spark.createDataFrame([(1, "A", 0, [], "<poem>x</poem>"), (2, "B", 0, [], None)], "page_id long, title string, namespace int, categories array<string>, html string")
+    assert [r["type"] for r in markup.classify(pages).orderBy("page_id").collect()] == ["POEM", "OTHER"]
+    assert markup._contained("<p>", 5)["error"].startswith("AttributeError") or markup._contained("<p>", 5)["error"]
+    broken = markup.classify(pages).withColumn("parsed", F.col("parsed").withField("error", F.when(F.col("page_id") == 2, F.lit("ValueError: x"))))
+    typed = broken.withColumn("_t", markup.page_type(F.col("parsed"), F.col("namespace"), F.col("title"), F.col("categories"))).select("page_id", "title", "parsed", "_t.type")
+    assert [r["type"] for r in typed.orderBy("page_id").collect()] == ["POEM", None]
+    empty = typed.withColumn("parsed", F.when(F.col("page_id") == 1, F.col("parsed").withField("block_texts", F.array(F.lit(" ")))).otherwise(F.col("parsed")))
+    assert sorted((r["page_id"], r["reject"], r["detail"]) for r in markup.rejects(empty).collect()) == [(1, markup.NO_STANZAS, "no stanza"), (2, markup.UNREADABLE, "ValueError: x")]
+
+
+def test_closures_end_on_cycles(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "y"), ("y", "z"), ("x", "w")], "parent string, child string")
+    pairs = {tuple(r) for r in graph.ancestry(edges).collect()}
+    assert {(a, b) for a in "abc" for b in "abcd"} <= pairs and ("x", "z") in pairs and len(pairs) == 16
+    got = {r["node"]: (r["direct_children"], r["total_descendants"]) for r in graph.descendant_counts(edges).collect()}
+    assert got == {"a": (1, None), "b": (1, None), "c": (2, None), "x": (2, 3), "y": (1, 1)}
+    chain = spark.range(1, 40).selectExpr("id as parent", "id + 1 as child")
+    assert {r["node"]: r["total_descendants"] for r in graph.descendant_counts(chain).collect()} == {i: 40 - i for i in range(1, 40)}
+    assert graph.reachable(chain, spark.createDataFrame([(10,)], "node long")).count() == 31
+
+
+def test_parents_with_one_title(spark):
+    poems = spark.createDataFrame([(1, "B/x"), (2, "C")], "page_id long, title string")
+    books = spark.createDataFrame([(10, "B"), (11, "B")], "page_id long, title string")
+    assert sorted(tuple(r) for r in context.infer_parent(poems, books).select("page_id", "parent_id").collect()) == [(1, 11), (2, None)]
+
+
+def test_siblings(spark):
+    rows = [("é", "r", "2", 1), ("f", "r", None, 3), ("e", "r", "1", None), ("r", None, "0", 3)]
+    nodes = spark.createDataFrame(rows, "node string, parent string, timestamp string, child_count int")
+    order = lambda *how: [r["node"] for r in graph.sorted_siblings(nodes, *how).where("parent = 'r'").orderBy("place").collect()]
+    assert order("name") == ["e", "é", "f"] and order("name", True) == ["f", "é", "e"]
+    assert order("timestamp") == ["e", "é", "f"] and order("timestamp", True) == ["é", "e", "f"]
+    assert order("child_count") == ["é", "f", "e"] and order("child_count", True) == ["f", "é", "e"]
