@@ -57,6 +57,45 @@ def search(frame: DataFrame, column: str, query: str = "", descending: bool = Fa
     return frame.where(matches(F.col(column), query)).orderBy(key.desc() if descending else key.asc())
 
 
+def list_places(frame: DataFrame, by: Column, *ties: str, descending: bool = False) -> DataFrame:
+    """Adds place (from 0) in the list sorted by ``by``: text as French sorts it, null as empty; numbers as they are.
+
+    A list view shows one page of all rows, so its places come from one total order (a window over all rows).
+    """
+    order = by.desc() if descending else by.asc()
+    return frame.withColumn("place", F.row_number().over(Window.orderBy(order, *ties)) - 1)
+
+
+def locale_key(column: str, locale: str = "fr") -> Column:
+    return F.collate(F.coalesce(F.col(column), F.lit("")), locale)
+
+
+def author_sort_list(records: DataFrame, by: str = "author", descending: bool = False) -> DataFrame:
+    """author, collection_count, orphan_count, place; ``poemCount`` sorts by collections plus orphans, unlike the count shown."""
+    rows = author_index(records)
+    key = {"author": locale_key("author"), "collectionCount": F.col("collection_count"), "poemCount": F.col("collection_count") + F.col("orphan_count")}[by]
+    return list_places(rows, key, "author", descending=descending)
+
+
+def author_choices(records: DataFrame) -> DataFrame:
+    """author, place: the dropdown's order."""
+    return list_places(records.select(_author().alias("author")).distinct(), locale_key("author"), "author")
+
+
+def panel_places(records: DataFrame) -> DataFrame:
+    """author, panel, page_id, ord, title, place: each author's panels in order, titles in order inside a panel."""
+    shown = panels(records).withColumnRenamed("place", "_kind")
+    inside = Window.partitionBy("author").orderBy("_kind", locale_key("panel"), locale_key("title"), "ord")
+    return shown.withColumn("place", F.row_number().over(inside) - 1).drop("_kind")
+
+
+def diff_places(diff: DataFrame, titles: DataFrame) -> DataFrame:
+    """page_id, status, title, place: the lists of added, removed and modified pages, each by title. titles: page_id, title."""
+    named = diff.where("status != 'same'").select("page_id", "status").join(titles, "page_id", "left")
+    same = Window.partitionBy("status").orderBy(locale_key("title"), "page_id")
+    return named.withColumn("place", F.row_number().over(same) - 1)
+
+
 def author_detail(records: DataFrame, author: str) -> DataFrame:
     own = records.where(_author() == author).where(present(F.col("collection_page_id"))).select("collection_page_id").distinct()
     return collection_index(records).join(own, "collection_page_id", "left_semi")
@@ -93,10 +132,6 @@ def panels(records: DataFrame) -> DataFrame:
     return grouped.unionByName(several).withColumn("place", place)
 
 
-def panel_order() -> list[Column]:
-    return [F.collate("author", "fr"), F.col("place"), F.collate("panel", "fr"), F.collate("title", "fr")]
-
-
 def grouped_by_source(records: DataFrame) -> DataFrame:
     source = F.coalesce(F.nullif(F.col("metadata.source_collection"), F.lit("")), F.lit(NO_SOURCE))
     return records.groupBy(_author().alias("author"), source.alias("panel")).agg(

@@ -10,20 +10,23 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions import markup, text
 from ..operators import context, graph
-from ..sources import dumps
+from ..operators import records as ops
+from ..sources import corpus, dumps
+from ..streaming import schedule
 
 BOOKS = "Recueils de poèmes"
 
 
 @dataclass
 class Dumps:
-    """Paths (patterns) of the five SQL, NDJSON and XML inputs."""
+    """Paths (patterns) of the SQL, NDJSON and XML inputs; without redirects, titles are looked up as they are."""
 
     page: str
     categorylinks: str
     linktarget: str
     html: str
     xml: str
+    redirect: str | None = None
 
 
 def classified(spark: SparkSession, d: Dumps, ids: DataFrame, lang: str, tables: dict) -> DataFrame:
@@ -101,35 +104,67 @@ def with_collections(rows: DataFrame, items: DataFrame, ids: DataFrame, books: D
     return out.select(*[c.split()[0] for c in schema.RECORD.split(", ")])
 
 
-def ingest(spark: SparkSession, d: Dumps, category: str, lang: str, work: str, done: DataFrame | None = None, limit: int | None = None) -> DataFrame:
-    """Records of the category's poems and of what its collections list, sorted by page_id.
-
-    Two bounded passes: pages of the category tree, then pages that collections and hubs of pass one name.
-    ``work`` is a shared folder for the two saved tables of classified pages.
+@dataclass
+class Result:
+    """What an ingest gives; all but the records are small or logs."""
+
+    records: DataFrame
+    other: DataFrame
+    collections: DataFrame
+    hubs: DataFrame
+    rejects: DataFrame
+    tree: DataFrame
+    pages: DataFrame
+
+
+def _log(pages: DataFrame, lang: str, parents: DataFrame, children: DataFrame | None = None) -> DataFrame:
+    """Columns of an audit log. parents: page_id, ParentTitle; children: page_id, ChildCount."""
+    rows = pages.join(parents, "page_id", "left")
+    columns = [
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("Timestamp"),
+        F.col("title").alias("PageTitle"),
+        text.page_url(F.lit(lang), F.col("title")).alias("URL"),
+        F.coalesce("ParentTitle", F.lit("")).alias("ParentTitle"),
+        F.col("reason").alias("Reason"),
+    ]
+    if children is not None:
+        rows = rows.join(children, "page_id", "left")
+        columns.append(F.coalesce("ChildCount", F.lit(0)).alias("ChildCount"))
+    return rows.select(*columns)
+
+
+def ingest(spark: SparkSession, d: Dumps, category: str, lang: str, work: str, done: DataFrame | None = None, limit: int | None = None) -> Result:
+    """Records of the category's poems and of what its collections list, sorted by page_id, and the logs.
+
+    Two bounded passes: pages of the category tree, then pages that collections and hubs of pass one name, or that their
+    poems name as collection. Titles lead over redirects. ``work`` is a shared folder; each dump is parsed once into it,
+    and so are the edges of the category tree and the classified pages.
     """
-    tables = {
-        "pages": dumps.read_sql(spark, d.page, "page"),
-        "links": dumps.read_sql(spark, d.categorylinks, "categorylinks"),
-        "targets": dumps.read_sql(spark, d.linktarget, "linktarget"),
-    }
-    ids = graph.pages_in_category(tables["pages"], tables["links"], tables["targets"], category)
-    ids = ids.unionByName(graph.pages_in_category(tables["pages"], tables["links"], tables["targets"], BOOKS)).distinct()
+
+    def saved(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.mode("overwrite").parquet(f"{work}/{name}")
+        return spark.read.parquet(f"{work}/{name}")
+
+    paths = {"page": d.page, "categorylinks": d.categorylinks, "linktarget": d.linktarget} | ({"redirect": d.redirect} if d.redirect else {})
+    raw = {name: saved(dumps.read_sql(spark, path, name), f"table-{name}") for name, path in paths.items()}
+    tables = {"pages": raw["page"], "links": raw["categorylinks"], "targets": raw["linktarget"]}
+    edges = saved(graph.category_edges(**tables), "edges")
+    ids = graph.pages_in_category(*tables.values(), category, edges).unionByName(graph.pages_in_category(*tables.values(), BOOKS, edges)).distinct()
     if done is not None:
         ids = context.without(ids, done)
     if limit is not None:
         ids = ids.orderBy("page_id").limit(limit)
     titles = context.title_ids(tables["pages"])
-
-    def saved(frame: DataFrame, name: str) -> DataFrame:
-        frame.write.mode("overwrite").parquet(f"{work}/{name}")
-        return spark.read.parquet(f"{work}/{name}")
+    if d.redirect:
+        titles = saved(with_redirects(titles, raw["redirect"]), "titles")
 
     first = saved(classified(spark, d, ids, lang, tables), "pages-1")
     named = first.where("type = 'POETIC_COLLECTION'").select(F.explode("parsed.items.title").alias("title"))
-    named = named.unionByName(first.where("type = 'MULTI_VERSION_HUB'").select(F.explode("parsed.sub_titles").alias("title"))).distinct()
+    named = named.unionByName(first.where("type = 'MULTI_VERSION_HUB'").select(F.explode("parsed.sub_titles").alias("title")))
+    named = named.unionByName(first.where("type = 'POEM' and parsed.source_collection != ''").select(F.col("parsed.source_collection").alias("title"))).distinct()
     found = context.resolve(named, titles).where("page_id is not null").select("page_id").distinct()
-    found = found.join(first.select("page_id"), "page_id", "left_anti")
-    second = saved(classified(spark, d, found, lang, tables), "pages-2")
+    known = first.select("page_id") if done is None else first.select("page_id").unionByName(done.select("page_id"))
+    second = saved(classified(spark, d, context.without(found, known), lang, tables), "pages-2")
     every = first.unionByName(second)
     books = every.where("type = 'POETIC_COLLECTION'")
     poems = every.where("type = 'POEM'")
@@ -138,7 +173,55 @@ def ingest(spark: SparkSession, d: Dumps, category: str, lang: str, work: str, d
         F.col("page_id").alias("hub_page_id"), F.col("title").alias("hub_title"), F.explode("parsed.sub_titles").alias("title")
     )
     hubs = context.resolve(versions, titles).where("page_id is not null and page_id != hub_page_id")
-    hubs = hubs.groupBy("page_id").agg(F.max(F.struct("hub_page_id", "hub_title")).alias("h")).select("page_id", "h.*")
+    best = hubs.groupBy("page_id").agg(F.max(F.struct("hub_page_id", "hub_title")).alias("h")).select("page_id", "h.*")
     order = context.build(items, titles, poems)
-    rows = records(poems, order, hubs, books, dumps.read_xml(spark, d.xml, poems), lang)
-    return with_collections(rows, items, titles, books, lang).orderBy("page_id")
+    rows = records(poems, order, best, books, dumps.read_xml(spark, d.xml, poems), lang)
+    rows = saved(with_collections(rows, items, titles, books, lang), "records").orderBy("page_id")
+
+    listed = context.resolve(items.where("kind = 'POEM'"), titles).join(books.select(F.col("page_id").alias("collection_id"), F.col("title").alias("ParentTitle")), "collection_id")
+    above = listed.select("page_id", "ParentTitle").unionByName(hubs.select("page_id", F.col("hub_title").alias("ParentTitle")))
+    above = above.where("page_id is not null").groupBy("page_id").agg(F.min("ParentTitle").alias("ParentTitle"))
+    in_books = context.child_counts(items).select(F.col("collection_id").alias("page_id"), F.col("poems").alias("ChildCount"))
+    in_hubs = hubs.groupBy(F.col("hub_page_id").alias("page_id")).agg(F.count(F.lit(1)).alias("ChildCount"))
+    shown = every.where("type is not null").join(above, "page_id", "left")
+    up = F.when(F.col("ParentTitle") != F.col("title"), F.col("ParentTitle"))
+    tree = shown.select(
+        F.lit(category).alias("author"), F.col("title").alias("node"), F.coalesce(up, F.lit(category)).alias("parent"), "type", "reason", F.lit("").alias("timestamp")
+    )
+    return Result(
+        records=rows,
+        other=_log(every.where("type in ('OTHER', 'AUTHOR')"), lang, above),
+        collections=_log(books, lang, above, in_books),
+        hubs=_log(every.where("type = 'MULTI_VERSION_HUB'"), lang, above, in_hubs),
+        rejects=markup.rejects(every),
+        tree=tree,
+        pages=every,
+    )
+
+
+def with_redirects(titles: DataFrame, redirects: DataFrame) -> DataFrame:
+    """titles (title, page_id) with the ids of redirects led to where they end; titles that end nowhere go.
+
+    redirects: source, namespace, title, as in the dump.
+    """
+    targets = context.resolve(redirects.where("namespace = 0").select("source", "title"), titles).where("page_id is not null")
+    resolved = graph.resolve_redirects(targets.select("source", F.col("page_id").alias("target")))
+    lost = redirects.select("source").join(resolved.select("source"), "source", "left_anti").select("source", F.lit(None).cast("bigint").alias("resolved"))
+    return context.follow(titles, resolved.unionByName(lost)).where("page_id is not null")
+
+
+def write(spark: SparkSession, result: Result, output: str, append: bool = False, trees: bool = False) -> dict:
+    """All sinks beside ``output``: records, cleaned records, index, logs, rejects and trees. Returns counts for the report."""
+    corpus.write_jsonl(result.records, output, "append" if append else "overwrite")
+    written = corpus.read_jsonl(spark, output)
+    clean = ops.process(ops.best_version(written)).orderBy("first_ord")
+    corpus.write_jsonl(clean, f"{output}.cleaned")
+    schedule.upsert_index(ops.index_rows(result.records).withColumn("ord", F.lit(0)), f"{output}.index")
+    corpus.write_log(result.other, f"{output}.logs/other_pages")
+    corpus.write_log(result.collections, f"{output}.logs/collections", children=True)
+    corpus.write_log(result.hubs, f"{output}.logs/hubs", children=True)
+    result.rejects.write.mode("overwrite").option("header", True).csv(f"{output}.logs/rejects")
+    if trees:
+        corpus.write_trees(result.tree, f"{output}.trees")
+    counts = {"records": written.count(), "cleaned": clean.count(), "rejected": result.rejects.count()}
+    return counts | {r["type"] or "unreadable": r["count"] for r in result.pages.groupBy("type").count().collect()}

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +21,10 @@ def with_order(rows: DataFrame) -> DataFrame:
     return rows.select("*", place.alias("ord"))
 
 
-def read_lines(spark: SparkSession, path) -> DataFrame:
-    """value, ord. gzip by suffix."""
-    return with_order(spark.read.option("lineSep", "\n").text(path))
+def read_lines(spark: SparkSession, path, spread: int | None = None) -> DataFrame:
+    """value, ord. gzip by suffix; a gzip file is read by one task, and ``spread`` deals its lines to so many for what follows."""
+    lines = with_order(spark.read.option("lineSep", "\n").text(path))
+    return lines.repartition(spread) if spread else lines
 
 
 def read_jsonl(spark: SparkSession, path, columns: str = schema.RECORD, strict: bool = False) -> DataFrame:
@@ -86,23 +91,24 @@ def free_bytes(spark: SparkSession, path: str) -> int:
 # -- exploration trees -----------------------------------------------------------------------------------
 
 
+_TREE = "node string, type string, reason string, timestamp string, parent string"
+
+
+def _unwound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for text in batch["value"]:
+            rows, stack = [], [(json.loads(text), None)]
+            while stack:
+                x, parent = stack.pop()
+                rows.append((x.get("name"), x.get("type"), x.get("reason"), x.get("timestamp"), parent))
+                below = x.get("children") or []
+                stack += [(c, x.get("name")) for c in reversed(below if isinstance(below, list) else list(below.values()))]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _TREE.split(", ")], dtype=object)
+
+
 def read_tree(spark: SparkSession, path: str) -> DataFrame:
-    """A tree file as node, type, reason, timestamp, parent rows; unwound level by level."""
-    text = spark.read.option("wholetext", True).text(path)
-    level = text.select(F.try_parse_json("value").alias("v"), F.lit(None).cast("string").alias("parent"))
-    out = None
-    while True:
-        rows = level.select(
-            *[F.try_variant_get("v", f"$.{k}", "string").alias(a) for k, a in (("name", "node"), ("type", "type"), ("reason", "reason"), ("timestamp", "timestamp"))],
-            "parent",
-        )
-        out = rows if out is None else out.unionByName(rows)
-        below = level.select(
-            F.explode(F.try_variant_get("v", "$.children", "array<variant>")).alias("v"), F.try_variant_get("v", "$.name", "string").alias("parent")
-        )
-        if below.isEmpty():
-            return out
-        level = below
+    """Tree files as node, type, reason, timestamp, parent rows, in one pass; a file is one author's tree."""
+    return spark.read.option("wholetext", True).text(path).select("value").mapInPandas(_unwound, _TREE)
 
 
 def tree_text(nodes: list[dict], root: str) -> str:
@@ -121,5 +127,37 @@ def tree_text(nodes: list[dict], root: str) -> str:
     return "\n".join([*head, *lines]) + "\n"
 
 
+def tree_json(nodes: list[dict], root: str) -> str:
+    """The same tree nested: children as lists, with the counts of the root."""
+    top = {"name": root, "children": []}
+    of: dict = {root: top}
+    for n in nodes:
+        of.setdefault(n["node"], {k: v for k, v in (("name", n["node"]), ("type", n.get("type")), ("reason", n.get("reason")), ("timestamp", n.get("timestamp"))) if v is not None})
+    for n in nodes:
+        of[n["parent"]].setdefault("children", []).append(of[n["node"]])
+    return json.dumps(top | {"direct_children": len(top["children"]), "total_descendants": len(nodes)}, ensure_ascii=False)
+
+
+def tree_files(nodes: DataFrame) -> DataFrame:
+    """name, text, json: one row for each author. nodes: author, node, parent, type, reason, timestamp.
+
+    A tree's root is its author; an author's tree is drawn in one task, as its file is one file.
+    """
+
+    def drawn(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        found = rows.astype(object).where(rows.notna(), None).sort_values(["timestamp", "node"]).to_dict("records")
+        return pd.DataFrame([(key[0], tree_text(found, key[0]), tree_json(found, key[0]))], columns=["author", "text", "json"])
+
+    made = nodes.groupBy("author").applyInPandas(drawn, "author string, text string, json string")
+    return made.select(tree_file_name(F.col("author")).alias("name"), "text", "json")
+
+
+def write_trees(nodes: DataFrame, path: str) -> None:
+    """Folders ``txt`` and ``json`` with a part for each author."""
+    files = tree_files(nodes)
+    for kind, column in (("txt", "text"), ("json", "json")):
+        files.select("name", F.regexp_replace(column, "\n$", "").alias("value")).write.mode("overwrite").partitionBy("name").text(f"{path}/{kind}")
+
+
 def tree_file_name(category) -> object:
     return file_name(F.element_at(F.split(category, ":"), -1))

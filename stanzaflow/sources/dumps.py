@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import spaced
+from ..operators import context
 
 _ESCAPES = {"n": "\n", "r": "\r", "t": "\t", "0": "\0"}
 
@@ -89,7 +90,7 @@ _NDJSON = "identifier bigint, name string, url string, date_modified string, ver
 
 
 def read_ndjson(spark: SparkSession, path, targets: DataFrame | None = None) -> DataFrame:
-    """page_id, revision_id, title, url, html, date_modified; pages without id and broken lines go."""
+    """page_id, revision_id, title, url, html, date_modified; pages without id and broken lines go (``broken_ndjson`` has them)."""
     rows = spark.read.schema(_NDJSON).option("mode", "DROPMALFORMED").json(path).where("identifier is not null")
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     rows = rows.select(
@@ -103,11 +104,22 @@ def read_ndjson(spark: SparkSession, path, targets: DataFrame | None = None) ->
     return rows if targets is None else rows.join(targets.select("page_id").distinct(), "page_id", "left_semi")
 
 
+def broken_ndjson(spark: SparkSession, path) -> DataFrame:
+    """file, line, reason of the lines that ``read_ndjson`` leaves out."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.length(F.trim("value")) > 0)
+    parsed = lines.withColumn("_r", F.from_json("value", f"{_NDJSON}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
+    reason = F.when(F.col("_r._bad").isNotNull(), "broken").when(F.col("_r.identifier").isNull(), "no id")
+    return parsed.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("file", F.col("value").alias("line"), "reason")
+
+
 _XML = "id bigint, ns int, title string, revision array<struct<id:bigint,text:string>>"
 
 
 def read_xml(spark: SparkSession, path, targets: DataFrame | None = None, namespace: int = 0) -> DataFrame:
-    """page_id, revision_id, title, wikitext (of the first revision; empty if missing)."""
+    """page_id, revision_id, title, wikitext (of the first revision; empty if missing).
+
+    Of a file that breaks off, the pages before the break are read; ``broken_xml`` names such files.
+    """
     options = {"rowTag": "page", "ignoreSurroundingSpaces": "false", "ignoreCorruptFiles": "true"}
     rows = spark.read.format("xml").schema(_XML).options(**options).load(path).where((F.col("ns") == namespace) & F.col("id").isNotNull())
     rows = rows.select(
@@ -119,6 +131,28 @@ def read_xml(spark: SparkSession, path, targets: DataFrame | None = None, namesp
     return rows if targets is None else rows.join(targets.select("page_id").distinct(), "page_id", "left_semi")
 
 
+def broken_xml(spark: SparkSession, path) -> DataFrame:
+    """file: XML files without the end of their root, cut short or unreadable."""
+    listed = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"))
+    lines = spark.read.option("ignoreCorruptFiles", "true").option("lineSep", "\n").text(path)
+    ended = lines.where(F.col("value").contains("</mediawiki>")).select(F.col("_metadata.file_path").alias("file")).distinct()
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    return listed.select(plain(F.col("file")).alias("file")).join(ended.select(plain(F.col("file")).alias("file")), "file", "left_anti")
+
+
+def snapshot(pages: DataFrame, html: DataFrame, xml: DataFrame, links: DataFrame, targets: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
+    """page_id, title, resolved_id, html, wikitext, categories of every page, redirects followed first if they are given.
+
+    ``redirects``: source, resolved. A page that does not exist where it leads has null html and wikitext.
+    """
+    own = pages.select("page_id", "title")
+    led = context.follow(own.withColumn("asked", F.col("page_id")), redirects) if redirects is not None else own.withColumn("asked", F.col("page_id"))
+    led = led.select(F.col("asked"), F.col("title"), F.col("page_id"))
+    out = led.join(html.select("page_id", "html"), "page_id", "left").join(xml.select("page_id", "wikitext"), "page_id", "left")
+    out = context.with_categories(out, links.select("page_id", "target_id"), targets)
+    return out.select(F.col("asked").alias("page_id"), "title", F.col("page_id").alias("resolved_id"), "html", "wikitext", "categories")
+
+
 def find_page(pages: DataFrame, term: str, namespace: int = 0) -> DataFrame:
     """The page with that title, else the first by title that begins with it."""
     own = pages.where(F.col("namespace") == namespace).where(F.col("title").startswith(term))

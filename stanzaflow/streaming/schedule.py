@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -19,15 +20,21 @@ class _Schedule(StatefulProcessor):
         self.seen = handle.getValueState("seen", "has_context boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        items = pd.concat(list(rows)).sort_values("ord")
+        """At most two rows of a key are emitted: its first, and its first with context. Only these two are kept meanwhile."""
         had = self.seen.get()[0] if self.seen.exists() else None
-        out = []
-        for item in items.itertuples(index=False):
-            if had is None or (item.has_context and not had):
-                out.append((key[0], item.ord, bool(item.has_context)))
-                had = bool(item.has_context)
-        if had is not None:
-            self.seen.update((had,))
+        first = context = None  # the least ord of all, and of those with context
+        for part in rows:
+            with_context = part.loc[part["has_context"].astype(bool), "ord"]
+            i = part["ord"].idxmin()
+            one = (int(part.at[i, "ord"]), bool(part.at[i, "has_context"]))
+            first = one if first is None else min(first, one)
+            if len(with_context):
+                context = int(with_context.min()) if context is None else min(context, int(with_context.min()))
+        out = [(key[0], *first)] if had is None and first else []
+        if context is not None and not had and not (out and first[1]):
+            out.append((key[0], context, True))
+        if out:
+            self.seen.update((bool(had) or context is not None,))
         yield pd.DataFrame(out, columns=["page_id", "ord", "has_context"])
 
     def close(self) -> None:
@@ -50,35 +57,55 @@ def schedule_batch(items: DataFrame) -> DataFrame:
     return kept.where((F.col("_n") == 1) | (F.col("has_context") & (F.col("_had") == 0))).select("page_id", "ord", "has_context")
 
 
-def upsert_index(batch: DataFrame, path: str) -> None:
+#: Changes that are kept apart before they are merged into one base.
+COMPACT = 8
+
+
+def upsert_index(batch: DataFrame, path: str, batch_id: int | None = None) -> None:
     """foreachBatch sink: the index at ``path`` with the batch's rows replacing those of the same page.
 
-    A new version is written beside the old one and then takes its name in ``path``/CURRENT, so a batch that is
-    run again after a failure gives the same index.
+    A batch writes only its own rows, as ``delta-<id>``; a version counts once its _SUCCESS file is there, which Spark
+    writes last, so a crash leaves the version before. A batch that runs again writes the same version again. Every
+    ``COMPACT`` versions all is merged into ``base-<id>``, and what the base before it made needless goes.
     """
     spark = batch.sparkSession
-    old = read_index(spark, path)
-    rows = batch.withColumn("_new", F.lit(1))
-    if old is not None:
-        rows = rows.unionByName(old.withColumn("_new", F.lit(0)))
-    newest = Window.partitionBy("page_id").orderBy(F.desc("_new"), F.desc("ord"))
-    rows = rows.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n", "_new")
-    version = f"v{(_version(spark, path) or 0) + 1}"
-    rows.write.mode("overwrite").parquet(f"{path}/{version}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/CURRENT")
-
-
-def _version(spark, path: str) -> int | None:
-    jvm = spark.sparkContext._jvm
-    current = jvm.org.apache.hadoop.fs.Path(f"{path}/CURRENT")
-    if not current.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(current):
+    found = _versions(spark, path)
+    version = batch_id if batch_id is not None else max([v for _, v in found], default=-1) + 1
+    newest = Window.partitionBy("page_id").orderBy(F.desc("ord"))
+    rows = batch.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+    rows.write.mode("overwrite").parquet(f"{path}/delta-{version:012d}")
+    base = max([v for kind, v in found if kind == "base" and v < version], default=-1)
+    if sum(kind == "delta" and v > base for kind, v in {*found, ("delta", version)}) > COMPACT:
+        read_index(spark, path, version).write.mode("overwrite").parquet(f"{path}/base-{version:012d}")
+        for kind, v in found:
+            if v < base or (kind == "delta" and v <= base):
+                fs, p = _hadoop(spark, f"{path}/{kind}-{v:012d}")
+                fs.delete(p, True)
+
+
+def _hadoop(spark, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _versions(spark, path: str) -> list[tuple[str, int]]:
+    """Kind and number of the versions that are complete."""
+    fs, p = _hadoop(spark, f"{path}/*-*/_SUCCESS")
+    names = [s.getPath().getParent().getName() for s in fs.globStatus(p) or []]
+    return sorted((kind, int(number)) for kind, number in (n.split("-") for n in names))
+
+
+def read_index(spark, path: str, upto: int | None = None) -> DataFrame | None:
+    """The newest row of each page; None where nothing is written yet."""
+    found = [(kind, v) for kind, v in _versions(spark, path) if upto is None or v <= upto]
+    base = max([v for kind, v in found if kind == "base"], default=-1)
+    parts = [("base", base)] * (base >= 0) + [(kind, v) for kind, v in found if kind == "delta" and v > base]
+    if not parts:
         return None
-    return int(spark.read.text(f"{path}/CURRENT").first()[0][1:])
-
-
-def read_index(spark, path: str) -> DataFrame | None:
-    version = _version(spark, path)
-    return spark.read.parquet(f"{path}/v{version}") if version else None
+    frames = [spark.read.parquet(f"{path}/{kind}-{v:012d}").withColumn("_version", F.lit(v)) for kind, v in parts]
+    every = reduce(DataFrame.unionByName, frames)
+    newest = Window.partitionBy("page_id").orderBy(F.desc("_version"))
+    return every.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n", "_version")
 
 
 def rate(events: DataFrame, key: str, seconds: int) -> DataFrame:

@@ -37,8 +37,20 @@ def test_stream_equals_batch(spark, items, tmp_path):
 def test_upsert(spark, tmp_path):
     path = str(tmp_path / "index")
     rows = lambda *x: spark.createDataFrame(list(x), "page_id long, ord long, title string")
+    shown = lambda: sorted(map(tuple, schedule.read_index(spark, path).select("page_id", "title").collect()))
     assert schedule.read_index(spark, path) is None
-    schedule.upsert_index(rows((1, 1, "a"), (1, 2, "b"), (2, 1, "c")), path)
-    for _ in range(2):
-        schedule.upsert_index(rows((2, 0, "d"), (3, 1, "e")), path)
-        assert sorted(map(tuple, schedule.read_index(spark, path).select("page_id", "title").collect())) == [(1, "b"), (2, "d"), (3, "e")]
+    schedule.upsert_index(rows((1, 1, "a"), (1, 2, "b"), (2, 1, "c")), path, 0)
+    for _ in range(2):  # the same batch again gives the same index
+        schedule.upsert_index(rows((2, 0, "d"), (3, 1, "e")), path, 1)
+        assert shown() == [(1, "b"), (2, "d"), (3, "e")]
+    # a version that broke off before its end does not count
+    rows((1, 9, "broken")).write.parquet(f"{path}/delta-{2:012d}")
+    (tmp_path / "index" / f"delta-{2:012d}" / "_SUCCESS").unlink()
+    assert shown() == [(1, "b"), (2, "d"), (3, "e")]
+    for n in range(2, 2 + 3 * schedule.COMPACT):
+        schedule.upsert_index(rows((3, 0, f"e{n}"), (n + 100, 0, "new")), path, n)
+        assert shown()[:3] == [(1, "b"), (2, "d"), (3, f"e{n}")] and len(shown()) == n + 2
+    kept = [p.name for p in (tmp_path / "index").iterdir()]
+    assert len(kept) <= 2 * schedule.COMPACT + 4
+    schedule.upsert_index(rows((1, 0, "z")), path)
+    assert shown()[0] == (1, "z")
