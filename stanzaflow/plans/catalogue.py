@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import links, markup, text
+from ..functions import links, text
 from ..operators import context, graph, profile, records, views
 from ..streaming import schedule
 
@@ -544,9 +544,9 @@ def author_panels(spark, sf_dir):
     return views.panels(corpus(spark, sf_dir))
 
 
-@query(_with("SELECT ord, page_id, title FROM corpus WHERE contains(lower(title), 'web')"))
+@query(_with("SELECT ord, page_id, title FROM corpus WHERE contains(lower(title), 'fr/')"))
 def search_sort_list(spark, sf_dir):
-    return views.search(corpus(spark, sf_dir).select("ord", "page_id", "title"), "title", "WEB")
+    return views.search(corpus(spark, sf_dir).select("ord", "page_id", "title"), "title", "FR/")
 
 
 @query(f"WITH {_BOOKS} SELECT books.* FROM books SEMI JOIN (SELECT collection_page_id FROM named WHERE {_ID} AND who = '{views.NO_AUTHOR}') o USING (collection_page_id)")
@@ -862,38 +862,6 @@ def adjacent_dedup(spark, sf_dir):
     return links.first_by_title(links.titled(_wiki_pages(spark, sf_dir)))
 
 
-def _classified(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("title"), "html")
-    pages = pages.withColumn("namespace", F.lit(0)).withColumn("categories", F.array().cast("array<string>"))
-    return markup.classify(pages, "en", "article", "article")
-
-
-@query()
-def page_signals(spark, sf_dir):
-    return _classified(spark, sf_dir).select("page_id", *[f"parsed.{s}" for s in markup._SIGNALS])
-
-
-@query()
-def page_class(spark, sf_dir):
-    return _classified(spark, sf_dir).select("page_id", "type", "reason")
-
-
-@query()
-def page_structure(spark, sf_dir):
-    return _classified(spark, sf_dir).select("page_id", markup.stanzas(F.col("parsed")).alias("stanzas"), F.col("parsed.raw_markers").alias("raw_markers"))
-
-
-@query()
-def page_items(spark, sf_dir):
-    rows = _classified(spark, sf_dir).select("page_id", F.posexplode("parsed.items").alias("pos", "i"))
-    return rows.select("page_id", "pos", "i.title", "i.kind")
-
-
-@query()
-def page_itemprops(spark, sf_dir):
-    return _classified(spark, sf_dir).select("page_id", *[f"parsed.{m}" for m in _META])
-
-
 # -- events ----------------------------------------------------------------------------------------------
 
 
@@ -929,3 +897,6 @@ def ext_tumbling(spark, sf_dir):
 )
 def ext_session(spark, sf_dir):
     return schedule.sessions(table(spark, sf_dir, "events")).select("user_id", _said("session_window.start"), "n")
+
+
+from . import wiki_queries  # noqa: E402, F401 - it registers its queries here
