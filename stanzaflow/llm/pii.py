@@ -3,7 +3,7 @@
 Four base detectors (email, ip, card, phone) read the text itself. Three
 transducers then rewrite disguises while every character of the rewritten text
 keeps the span of source characters it came from: homoglyphs and invisible
-characters, spelled digits, and at/dot in words or brackets. The same detectors
+characters, spelled digits (and dots and a plus beside numerals), and at/dot in words or brackets. The same detectors
 read the rewritten text, and what they find is mapped back. A found span is
 added if it covers something rewritten and overlaps no base span of its kind.
 
@@ -140,8 +140,8 @@ _SPELLED = re.compile(
 _PART = re.compile(rf"(?i)(?P<plus>plus[ \t-]+|\+[ \t]?)|(?P<digit>{_WORDS})(?!\w)|(?P<number>[0-9]+)|(?P<dot>[ \t]*(?:\.|[(\[{{<]?[ \t]*{_DOT}[ \t]*[)\]}}>]?)[ \t]*)|(?P<gap>[ \t,-]+)")
 
 _OPEN, _SHUT = r"[ \t]{0,3}[(\[{<][ \t]{0,2}", r"[ \t]{0,2}[)\]}>][ \t]{0,3}"
-_AT_MARK = rf"(?:{_OPEN}(?:at|ät|arroba|chez|@){_SHUT}|[ \t]{{1,3}}(?:at|arroba)[ \t]{{1,3}}|[ \t]{{0,3}}@[ \t]{{0,3}}|_at_|-at-)"
-_DOT_MARK = rf"(?:{_OPEN}(?:{_DOT}|\.){_SHUT}|[ \t]{{1,3}}{_DOT}[ \t]{{1,3}}|_dot_|-dot-)"
+_AT_MARK = rf"(?:{_OPEN}(?:at|ät|arroba|chez|@){_SHUT}|[ \t]{{1,3}}(?:at|arroba)[ \t]{{1,3}}|[ \t]{{0,3}}@[ \t]{{0,3}}|[ \t]{{0,2}}(?:_at_|-at-)[ \t]{{0,2}})"
+_DOT_MARK = rf"(?:{_OPEN}(?:{_DOT}|\.){_SHUT}|[ \t]{{1,3}}{_DOT}[ \t]{{1,3}}|[ \t]{{0,2}}(?:_dot_|-dot-)[ \t]{{0,2}})"
 _LOCAL_DOT = re.compile(rf"(?i){_OPEN}(?:{_DOT}|\.){_SHUT}|[ \t]{{1,3}}dot[ \t]{{1,3}}")
 _AT = re.compile(rf"(?i){_AT_MARK}")
 _DOTS = re.compile(rf"(?i){_DOT_MARK}|\.")
@@ -155,7 +155,7 @@ _PLAIN = ("_at_", "-at-", "_dot_", "-dot-", "_AT_", "-AT-", "_DOT_", "-DOT-", "
 _CLASS = (
     {w.encode(): "d" for d in _DIGITS for w in (d, d.upper().encode().lower().decode())}
     | {w.encode(): "n" for w in ("dot", "punto", "punkt", "point", "double", "triple")}
-    | {b"at": "a", b"arroba": "a"}
+    | {b"at": "a", b"arroba": "a", b"plus": "p"}
 )
 _APART = bytes(32 if i < 128 and not chr(i).isalnum() else i for i in range(256))
 _RUN = re.compile("[dn]{2,}")
@@ -230,6 +230,23 @@ def _unspell(tape: Tape, hints: str, least: int) -> None:
     tape.rewrite(edits)
 
 
+#: Numerals between disguised dots, and a spelled plus before one.
+_DOTTED = re.compile(rf"(?i)(?<![\w.])[0-9]++(?:(?:\.|{_DOT_MARK})[0-9]++){{3,}}")
+_DISGUISED_DOT = re.compile(rf"(?i){_DOT_MARK}")
+_PLUS = re.compile(r"(?i)(?<!\w)plus[ \t]{1,3}(?=[0-9])")
+
+
+def _unjoin(tape: Tape, hints: str) -> None:
+    """Dots between numerals, and a plus, in words or brackets."""
+    edits = []
+    if "nnnn" in hints:
+        for m in _DOTTED.finditer(tape.text):
+            edits += [(*x.span(), ".") for x in _DISGUISED_DOT.finditer(tape.text, m.start(), m.end())]
+    if "p" in hints:
+        edits += [(*m.span(), "+") for m in _PLUS.finditer(tape.text)]
+    tape.rewrite(sorted(edits))
+
+
 _NEAR = re.compile("a.*n")
 
 
@@ -310,6 +327,7 @@ def added(text: str, found: dict[str, list[Span]]) -> dict[str, list[Span]]:
         _unspell(tape, hints, least)
         if least == 1 and tape.text == before:
             break
+        _unjoin(tape, hints)
         _unmark(tape, hints)
         if not tape.changed:
             continue
