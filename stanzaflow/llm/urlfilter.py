@@ -1,9 +1,11 @@
 """URL filters: rules first, else naive Bayes over segmented host and path words.
 
-Hosts and paths are taken apart with DataFrame functions. A word model (counts
-of the delimited words of all hosts and paths) splits concatenated names by the
-most likely sequence of words (unigram Viterbi). The words of urls that a rule
-decides train a multinomial naive Bayes; it judges the others.
+Hosts and paths are taken apart with DataFrame functions. A word model splits
+concatenated names by the most likely sequence of words (unigram Viterbi). Its
+counts are of words that stand apart: in paths, and between hyphens and the like
+inside a host's label. A label without such marks may be words run together, so
+its own occurrences do not make it a word. The words of urls that a rule decides
+train a multinomial naive Bayes; it judges the others.
 
 Every counted word and every token is used. Both counts stay tables: names and
 undecided urls are dealt to chunks, and a chunk gets by join just the counts that
@@ -61,13 +63,19 @@ def rule(rules=RULES) -> Column:
 
 
 def labels() -> Column:
-    """The delimited words of host (``h``) and path (``p``) in order, as array<struct<kind, name>>."""
+    """The delimited words of host (``h``) and path (``p``) in order, as array<struct<kind, name, apart>>.
 
-    def of(kind: str, text: Column) -> Column:
-        names = F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda name: F.length(name) > 0)
-        return F.transform(names, lambda name: F.struct(F.lit(kind).alias("kind"), name.alias("name")))
+    ``apart`` is false for what is a whole label of a host.
+    """
+
+    def names(text: Column) -> Column:
+        return F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda name: F.length(name) > 0)
+
+    def of(kind: str, words: Column, apart: Column) -> Column:
+        return F.transform(words, lambda name: F.struct(F.lit(kind).alias("kind"), name.alias("name"), apart.alias("apart")))
 
-    return F.concat(of("h", F.col("host")), of("p", F.lower("path")))
+    hosts = F.transform(F.split("host", r"\."), lambda label: of("h", names(label), F.size(names(label)) > 1))
+    return F.concat(F.flatten(hosts), of("p", names(F.lower("path")), F.lit(True)))
 
 
 def parts(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -87,7 +95,7 @@ class Words:
 
     def split(self, name: str) -> list[str]:
         """The most likely sequence of words; unknown stretches stay together."""
-        if len(name) < 2:  # a known name is split too if its words are likelier: run-together names are counted like any
+        if len(name) < 2:
             return [name] if name else []
         new, more = -math.log(max(self.total, 1.0)), -math.log(10.0)
         best, back = [0.0], [0]
@@ -146,9 +154,9 @@ def _asked(dealt: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def name_counts(rows: DataFrame) -> DataFrame:
-    """How often each delimited word occurs in all hosts and paths: name, n, counted (whether the word model has it)."""
-    names = rows.select(F.explode(labels().getField("name")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    return names.withColumn("counted", ~F.col("name").rlike("^[0-9]+$"))
+    """All names of hosts and paths: name, n (how often it stands apart), counted (whether the word model has it)."""
+    names = rows.select(F.inline(labels())).groupBy("name").agg(F.count_if("apart").alias("n"))
+    return names.withColumn("counted", (F.col("n") > 0) & ~F.col("name").rlike("^[0-9]+$"))
 
 
 def split_names(names: DataFrame) -> DataFrame:
@@ -178,7 +186,7 @@ def _token() -> Column:
 
 def token_counts(rows: DataFrame, splits: DataFrame) -> DataFrame:
     """token, n, b (n in blocked urls), over all urls that a rule decides."""
-    ruled = rows.where(F.col("ruled").isNotNull()).select((F.col("ruled.verdict") == "block").cast("long").alias("b"), F.inline(labels()))
+    ruled = rows.where(F.col("ruled").isNotNull()).select((F.col("ruled.verdict") == "block").cast("long").alias("b"), F.inline(labels())).drop("apart")
     ruled = ruled.groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"))
     tokens = ruled.join(splits, "name").select(F.explode(_token()).alias("token"), "n", "b")
     return tokens.groupBy("token").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
@@ -216,7 +224,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     # saved, since the numbers that deal the rows must not change from one reading to the next
     undecided = rows.where(F.col("ruled").isNull()).select(_dealt(F.monotonically_increasing_id(), urls["open"]), "page_id", "host", "path")
     undecided = scratch.save(undecided, "undecided").withColumn("labels", labels())
-    names = undecided.select("chunk", F.inline("labels")).distinct().join(splits, "name").select("chunk", "kind", "name", _token().alias("tokens"))
+    names = undecided.select("chunk", F.inline("labels")).drop("apart").distinct().join(splits, "name").select("chunk", "kind", "name", _token().alias("tokens"))
     counts = names.select("chunk", F.explode("tokens").alias("token")).distinct().join(tokens, "token")
     chunks = undecided.groupBy("chunk").agg(F.collect_list(F.struct("page_id", "host", "path", "labels")).alias("urls"))
     chunks = chunks.join(names.groupBy("chunk").agg(F.collect_list(F.struct("kind", "name", "tokens")).alias("names")), "chunk", "left")
