@@ -7,27 +7,22 @@ round is checkpointed in the shared folder, so lineage does not grow.
 from __future__ import annotations
 
 import math
-import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import last_segment, spaced
+from ..sources.shared import shared_dir
 
-_DEFAULT_DIR = "/tmp/checkpoints/stanzaflow"
 HOPS = 4
 #: Levels of a closure that are kept apart before they are written as one table.
 _LEVELS = 16
 
 
 def _cut(frame: DataFrame) -> DataFrame:
-    """Checkpoint in the folder that ``spark.checkpoint.dir`` names; only a session of one process gets a folder of its own."""
-    spark = frame.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(_DEFAULT_DIR)
+    """Checkpoint in the shared folder."""
+    shared_dir(frame.sparkSession)
     return frame.checkpoint()
 
 

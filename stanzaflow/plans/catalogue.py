@@ -899,4 +899,4 @@ def ext_session(spark, sf_dir):
     return schedule.sessions(table(spark, sf_dir, "events")).select("user_id", _said("session_window.start"), "n")
 
 
-from . import wiki_queries  # noqa: E402, F401 - it registers its queries here
+from . import file_queries, wiki_queries  # noqa: E402, F401 - they register their queries here

@@ -112,6 +112,7 @@ def broken_ndjson(spark: SparkSession, path) -> DataFrame:
     return parsed.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("file", F.col("value").alias("line"), "reason")
 
 
+_XML_OPTIONS = {"rowTag": "page", "ignoreSurroundingSpaces": "false", "ignoreCorruptFiles": "true"}
 _XML = "id bigint, ns int, title string, revision array<struct<id:bigint,text:string>>"
 
 
@@ -120,8 +121,7 @@ def read_xml(spark: SparkSession, path, targets: DataFrame | None = None, namesp
 
     Of a file that breaks off, the pages before the break are read; ``broken_xml`` names such files.
     """
-    options = {"rowTag": "page", "ignoreSurroundingSpaces": "false", "ignoreCorruptFiles": "true"}
-    rows = spark.read.format("xml").schema(_XML).options(**options).load(path).where((F.col("ns") == namespace) & F.col("id").isNotNull())
+    rows = spark.read.format("xml").schema(_XML).options(**_XML_OPTIONS).load(path).where((F.col("ns") == namespace) & F.col("id").isNotNull())
     rows = rows.select(
         F.col("id").alias("page_id"),
         F.coalesce(F.try_element_at("revision", F.lit(1))["id"], F.lit(0)).alias("revision_id"),
@@ -132,12 +132,16 @@ def read_xml(spark: SparkSession, path, targets: DataFrame | None = None, namesp
 
 
 def broken_xml(spark: SparkSession, path) -> DataFrame:
-    """file: XML files without the end of their root, cut short or unreadable."""
-    listed = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"))
-    lines = spark.read.option("ignoreCorruptFiles", "true").option("lineSep", "\n").text(path)
-    ended = lines.where(F.col("value").contains("</mediawiki>")).select(F.col("_metadata.file_path").alias("file")).distinct()
-    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
-    return listed.select(plain(F.col("file")).alias("file")).join(ended.select(plain(F.col("file")).alias("file")), "file", "left_anti")
+    """file, pages, read: XML files without the end of their root (cut short, unreadable), or of which not all pages are read."""
+    plain = F.regexp_replace("file", "^file:/+", "/").alias("file")
+    listed = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file")).select(plain)
+    here = F.col("_metadata.file_path").alias("file")
+    lines = spark.read.option("ignoreCorruptFiles", "true").option("lineSep", "\n").text(path).select(here, "value")
+    seen = lines.groupBy(plain).agg(F.sum(F.regexp_count("value", F.lit("<page[ >]"))).alias("pages"), F.bool_or(F.col("value").contains("</mediawiki>")).alias("_ended"))
+    rows = spark.read.format("xml").schema(_XML).options(**_XML_OPTIONS).load(path).select(here, "id").where("id is not null")
+    read = rows.groupBy(plain).agg(F.count(F.lit(1)).alias("read"))
+    both = listed.join(seen, "file", "left").join(read, "file", "left").fillna({"pages": 0, "read": 0, "_ended": False})
+    return both.where("not _ended or pages != read").select("file", "pages", "read")
 
 
 def snapshot(pages: DataFrame, html: DataFrame, xml: DataFrame, links: DataFrame, targets: DataFrame, redirects: DataFrame | None = None) -> DataFrame:

@@ -100,10 +100,12 @@ def test_losses_are_named(spark, tmp_path):
     (tmp_path / "a.ndjson").write_text('{"identifier": 1}\n{bad\n{"name": "x"}\n\n')
     got = dumps.broken_ndjson(spark, str(tmp_path / "a.ndjson")).collect()
     assert sorted((r["line"], r["reason"]) for r in got) == [('{"name": "x"}', "no id"), ("{bad", "broken")]
-    (tmp_path / "a.xml").write_text("<mediawiki><page></page>\n</mediawiki>\n")
+    (tmp_path / "a.xml").write_text("<mediawiki><page><id>1</id></page>\n</mediawiki>\n")
+    (tmp_path / "d.xml").write_text("<page><id>1</id></page>\n<page><id>2</id></page>\n</mediawiki>")
     (tmp_path / "b.xml").write_text("<mediawiki><page>")
     (tmp_path / "c.xml.gz").write_bytes(gzip.compress(b"<mediawiki>" + bytes(range(256)) * 999 + b"</mediawiki>")[:150])
-    assert sorted(r["file"].rsplit("/", 1)[1] for r in dumps.broken_xml(spark, str(tmp_path / "*.xml*")).collect()) == ["b.xml", "c.xml.gz"]
+    got = {r["file"].rsplit("/", 1)[1]: (r["pages"], r["read"]) for r in dumps.broken_xml(spark, str(tmp_path / "*.xml*")).collect()}
+    assert got == {"b.xml": (1, 0), "c.xml.gz": (0, 0), "d.xml": (2, 1)}
 
 
 def test_find_page(spark):
