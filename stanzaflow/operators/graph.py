@@ -164,6 +164,14 @@ def direct_members(pages: DataFrame, links: DataFrame, targets: DataFrame, categ
     return links.where(F.col("type") == kind).join(own, "target_id", "left_semi").join(pages, "page_id")
 
 
+def shallow_members(pages: DataFrame, links: DataFrame, targets: DataFrame, root: str) -> DataFrame:
+    """category (title of a direct subcategory of ``root``), page_id, title of the pages directly in it: no deeper level."""
+    subs = direct_members(pages, links, targets, root, "subcat").select(spaced(F.col("title")).alias("category"))
+    named = targets.where(F.col("namespace") == 14).select("target_id", spaced(F.col("title")).alias("category"))
+    inside = links.where(F.col("type") == "page").join(named.join(subs, "category"), "target_id")
+    return inside.select("category", "page_id").join(pages, "page_id").select("category", "page_id", "title").distinct()
+
+
 def category_sizes(links: DataFrame, targets: DataFrame) -> DataFrame:
     """title, pages, subcats of each category that has members."""
     named = links.join(targets.where(F.col("namespace") == 14), "target_id")

@@ -93,6 +93,17 @@ def merge_counters(a: DataFrame, b: DataFrame, strategy: str = "keep_richest") -
     return counts.withColumn("a_wins", F.col("duplicates") - F.col("b_wins"))
 
 
+def dropped_counts(a: DataFrame, b: DataFrame) -> DataFrame:
+    """What ``merge`` leaves out of each side for want of a page id."""
+    count = lambda records, name: records.agg(F.count_if(F.col("page_id").isNull()).alias(name))
+    return count(a, "dropped_a").crossJoin(count(b, "dropped_b"))  # one row each
+
+
+def build_index(records: DataFrame, path: str) -> None:
+    """The whole index in one write: of records of one page the first."""
+    index_rows(first_wins(records)).write.mode("overwrite").parquet(path)
+
+
 def unidentified(records: DataFrame) -> DataFrame:
     """Records with a collection title (empty counts) but no collection id (0 is one)."""
     return records.where("collection_title is not null and collection_page_id is null")

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import markup, text
+from ..functions import links, markup, text
 from ..operators import context, graph, records, views
 from . import ingest
-from .catalogue import _C, _DIFF, _GEO, _ID, _IDS, _NAMED, _STANZAS_SQL, _geo, _items, _other_geo, _pages, _with, corpus, query, sides, table
+from .catalogue import _C, _DIFF, _GEO, _ID, _IDS, _NAMED, _STANZAS_SQL, _WIKI, _geo, _items, _other_geo, _pages, _wiki, corpus, query, sides, table
 
 _LINE = (
     "case when t.turn = 5 then '<li><a href=\"/wiki/Z?a=1&amp;redlink=1\">Zed</a></li>' when t.turn % 3 = 0 then concat('<li><b>Part ', t.turn, '</b></li>') "
@@ -144,6 +144,53 @@ def wikitext_templates(spark, sf_dir):
     return pages.select(F.col("conv_id").alias("page_id"), markup.wikitext(F.expr(_WIKITEXT)).alias("w")).select("page_id", "w.*")
 
 
+# -- names, links, shallow trees, counts ---------------------------------------------------------------------
+
+
+@query(
+    "SELECT doc_id, concat('https://', lang, '.wikisource.org/wiki/', replace(replace(replace(url_encode(replace(concat(source, ' é/', doc_id, ' (x)~*+'), ' ', '_')), '%2F', '/'), '%7E', '~'), '+', '%2B')) AS url, "
+    "lower(regexp_replace(concat(source, '/A b:', doc_id, '?'), '[\\/*?:\"<>| ]', '_', 'g')) AS file, list_extract(string_split(concat('K:', source, '/', doc_id), '/'), -1) AS last, "
+    "list_extract(string_split(concat('Auteur:', source), ':'), -1) AS author FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL"
+)
+def names_and_urls(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").where("lang is not null and source is not null")
+    title = F.expr("concat(source, ' é/', doc_id, ' (x)~*+')")
+    return rows.select(
+        "doc_id",
+        text.page_url(F.col("lang"), title).alias("url"),
+        text.file_name(F.expr("concat(source, '/A b:', doc_id, '?')")).alias("file"),
+        text.last_segment(F.expr("concat('K:', source, '/', doc_id)")).alias("last"),
+        text.after_colon(F.expr("concat('Auteur:', source)")).alias("author"),
+    )
+
+
+_HREF = (
+    "case event_id % 8 when 0 then '/wiki/A_b' when 1 then './A%20b#s' when 2 then '/wiki/Auteur:X' when 3 then '/wiki/Aide:Y' when 4 then '/wiki/A&redlink=1' "
+    "when 5 then '/w/index.php?title=A&action=edit' when 6 then 'http://x/wiki/A' else '/wiki/Catégorie:K' end"
+)
+
+
+@query("SELECT event_id, event_id % 8 IN (0, 1) AS inside, event_id % 8 IN (0, 1, 2, 7) AS inside_en FROM events")
+def internal_links(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumn("href", F.expr(_HREF))
+    title = links.href_title(F.col("href"))
+    return rows.select("event_id", links.internal(F.col("href"), title).alias("inside"), links.internal(F.col("href"), title, "en").alias("inside_en"))
+
+
+@query(
+    f"WITH {_WIKI}, t AS (SELECT doc_id FROM documents WHERE doc_id % 2 = 0) SELECT DISTINCT concat('C ', s.child) AS category, l.page_id, concat('C ', l.page_id) AS title "
+    "FROM sub s JOIN leaf l ON l.parent = s.child WHERE s.parent = 4"
+)
+def category_shallow(spark, sf_dir):
+    return graph.shallow_members(*_wiki(spark, sf_dir), "C_4")
+
+
+@query("SELECT count(*) FILTER (WHERE doc_id % 3 <> 0 AND doc_id % 50 = 1) AS dropped_a, count(*) FILTER (WHERE doc_id % 3 = 0 AND doc_id % 50 = 1) AS dropped_b FROM documents")
+def merge_dropped(spark, sf_dir):
+    rows = corpus(spark, sf_dir).withColumn("page_id", F.expr("if(ord % 50 = 1, null, page_id)"))
+    return records.dropped_counts(rows.where("src = 'A'"), rows.where("src = 'B'"))
+
+
 # -- lookups over redirects, feedback ----------------------------------------------------------------------
 
 _MOVED = f"{_IDS}, r AS (SELECT doc_id AS source, CASE WHEN doc_id % 12 = 8 THEN concat('T ', doc_id // 3 + 1) ELSE 'nowhere' END AS title FROM documents WHERE doc_id % 12 IN (2, 8))"

@@ -27,9 +27,9 @@ def read_lines(spark: SparkSession, path, spread: int | None = None) -> DataFram
     return lines.repartition(spread) if spread else lines
 
 
-def read_jsonl(spark: SparkSession, path, columns: str = schema.RECORD, strict: bool = False) -> DataFrame:
-    """Records with ord. Blank lines go; broken ones go too, or fail the read if ``strict``."""
-    lines = read_lines(spark, path).where(F.length(strip(F.col("value"))) > 0)
+def read_jsonl(spark: SparkSession, path, columns: str = schema.RECORD, strict: bool = False, spread: int | None = None) -> DataFrame:
+    """Records with ord. Blank lines go; broken ones go too, or fail the read if ``strict``. ``spread`` as in ``read_lines``."""
+    lines = read_lines(spark, path, spread).where(F.length(strip(F.col("value"))) > 0)
     mode = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     parsed = lines.withColumn("_r", F.from_json("value", columns if strict else f"{columns}, _bad string", mode))
     if not strict:

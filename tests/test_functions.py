@@ -191,3 +191,13 @@ def test_siblings(spark):
     assert order("name") == ["e", "é", "f"] and order("name", True) == ["f", "é", "e"]
     assert order("timestamp") == ["e", "é", "f"] and order("timestamp", True) == ["é", "e", "f"]
     assert order("child_count") == ["é", "f", "e"] and order("child_count", True) == ["f", "é", "e"]
+
+
+def test_poem_in_two_collections(spark):
+    """The collection with the largest id takes the poem; the other one keeps it in its structure, and its first place."""
+    items = spark.createDataFrame([(1, 0, "A", "POEM"), (1, 1, "B", "POEM"), (9, 0, "S", "SECTION_TITLE"), (9, 1, "A", "POEM")], "collection_id long, pos long, title string, kind string")
+    ids = spark.createDataFrame([("A", 100), ("B", 200)], "title string, page_id long")
+    got = {r["page_id"]: tuple(r)[1:] for r in context.build(items, ids, spark.createDataFrame([(100,), (200,)], "page_id long")).collect()}
+    assert got == {100: (9, "S", 0, True), 200: (1, None, 1, False)}
+    whole = {r["collection_id"]: [[p["page_id"] for p in e["poems"]] for e in r["content"]] for r in context.structures(items, ids).collect()}
+    assert whole == {1: [[100, 200]], 9: [[100]]}
