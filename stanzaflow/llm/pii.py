@@ -20,7 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -159,44 +159,71 @@ _CLASS = (
 )
 _APART = bytes(32 if i < 128 and not chr(i).isalnum() else i for i in range(256))
 _RUN = re.compile("[dn]{2,}")
+_BLOCK = 1 << 20
 
 
 def _hints(text: str) -> str:
-    """One letter a word, in order; cheap enough for every text."""
-    words = text.encode("utf-8", "replace").lower().translate(_APART).split()
-    return "".join([_CLASS.get(w) or ("n" if w.isdigit() else ".") for w in words])
+    """One letter a word, in order; cheap enough for every text. Long texts are read block by block."""
+    out, at = [], 0
+    while at < len(text):
+        end = text.find(" ", at + _BLOCK)
+        end = len(text) if end < 0 else end
+        words = text[at:end].encode("utf-8", "replace").lower().translate(_APART).split()
+        out.append("".join([_CLASS.get(w) or ("n" if w.isdigit() else ".") for w in words]))
+        at = end
+    return "".join(out)
 
 
 class Tape:
-    """A rewritten text; character i came from source[starts[i]:ends[i]], changed says if rewritten."""
+    """A rewritten text that knows where it came from.
+
+    Each rewriting keeps its edits and the stretches between them, so memory goes
+    with the edits, not with the text. ``changed``: rewritten characters, in order.
+    """
 
     def __init__(self, text: str):
-        self.text, self.starts, self.ends, self.changed = text, range(len(text)), range(1, len(text) + 1), ()
+        self.text, self.changed = text, []
+        self.maps: list[tuple[list[int], list[tuple[int, int | None]]]] = []
+
+    def span(self, first: int, last: int) -> Span:
+        """What the characters from ``first`` to ``last`` came from, in the source."""
+        for places, old in reversed(self.maps):
+            k = bisect_right(places, first) - 1
+            a, b = old[k]
+            first = a if b is not None else a + first - places[k]
+            k = bisect_right(places, last) - 1
+            a, b = old[k]
+            last = b - 1 if b is not None else a + last - places[k]
+        return first, last + 1
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """edits: (start, end, new text) in order, apart from each other."""
         if not edits:
             return
-        out, starts, ends, changed, at, base_at = [], [], [], [], 0, 0
-        old = self.changed
+        out, places, old, changed, at, now = [], [], [], [], 0, 0
+        before, i = self.changed, 0
         for a, b, new in [*edits, (len(self.text), len(self.text), "")]:
-            i = bisect_left(old, at)
-            while i < len(old) and old[i] < a:
-                changed.append(old[i] - at + base_at)
+            while i < len(before) and before[i] < at:
+                i += 1
+            while i < len(before) and before[i] < a:
+                changed.append(before[i] - at + now)
                 i += 1
-            out += [self.text[at:a], new]
-            starts += self.starts[at:a]
-            ends += self.ends[at:a]
+            if a > at:
+                places.append(now)
+                old.append((at, None))
+                out.append(self.text[at:a])
+                now += a - at
             if new:
-                first, last = (self.starts[a], self.ends[b - 1])
-                changed += range(base_at + a - at, base_at + a - at + len(new))
-                starts += [first] * len(new)
-                ends += [last] * len(new)
+                places.append(now)
+                old.append((a, b))
+                out.append(new)
+                changed += range(now, now + len(new))
+                now += len(new)
             elif b > a:  # the character after a deleted one counts as rewritten
-                changed.append(base_at + a - at)
-            base_at += a - at + len(new)
+                changed.append(now)
             at = b
-        self.text, self.starts, self.ends, self.changed = "".join(out), starts, ends, changed
+        self.text, self.changed = "".join(out), changed
+        self.maps.append((places, old))
 
 
 def _unglyph(tape: Tape) -> None:
@@ -262,18 +289,29 @@ def _chains(text: str) -> tuple[list[int], list[int], list[int]]:
     return starts, ends, begins
 
 
+#: No local part, mark or host goes beyond such a stretch.
+_ISLAND = re.compile(r"[A-Za-z0-9._%+@ \t()\[\]{}<>äÄ-]{5,}")
+
+
 def _unmark(tape: Tape, hints: str) -> None:
-    """At and dot in words or brackets. A bare ``at`` counts only if the host has a disguised dot too.
+    """At and dot in words or brackets. A bare ``at`` counts only if the host has a disguised dot too."""
+    text = tape.text
+    if not (_NEAR.search(hints) or any(x in text for x in _PLAIN) or _BRACKETED.search(text)):
+        return
+    edits = []
+    for m in _ISLAND.finditer(text):
+        if _AT.search(text, m.start(), m.end()):
+            edits += [(a + m.start(), b + m.start(), new) for a, b, new in _marks(m[0])]
+    tape.rewrite(edits)
+
+
+def _marks(text: str) -> list[tuple[int, int, str]]:
+    """The marks of addresses, with what they stand for.
 
     Local part and host are followed outward from each at-mark, over any number
     of characters and dots; runs and dots are listed once, so the work is linear.
     """
-    text = tape.text
-    if not (_NEAR.search(hints) or any(x in text for x in _PLAIN) or _BRACKETED.search(text)):
-        return
     ats = [m.span() for m in _AT.finditer(text)]
-    if not ats:
-        return
     starts, ends, begins = _chains(text)
     dots = [m.span() for m in _DOTS.finditer(text)]
     hosts = [m.span() for m in _HOSTS.finditer(text)]
@@ -309,7 +347,7 @@ def _unmark(tape: Tape, hints: str) -> None:
         edits.append((a, b, "@"))
         edits += [(*x, ".") for x in marked]
         free = next(x for x in hosts[bisect_left(hosts, (at + 1, 0)) - 1 :] if x[1] > at)[1]
-    tape.rewrite(edits)
+    return edits
 
 
 def added(text: str, found: dict[str, list[Span]]) -> dict[str, list[Span]]:
@@ -337,7 +375,7 @@ def added(text: str, found: dict[str, list[Span]]) -> dict[str, list[Span]]:
                 i = bisect_left(tape.changed, a)
                 if i == len(tape.changed) or tape.changed[i] >= b:
                     continue
-                start, end = tape.starts[a], tape.ends[b - 1]
+                start, end = tape.span(a, b - 1)
                 k = bisect_left(known, (start, start))
                 if all(end <= s or e <= start for s, e in known[max(0, k - 1) : k + 2]):
                     more[kind].append((start, end))
