@@ -20,6 +20,7 @@ id; extra columns are ignored by ``near_groups`` and kept by ``near_dedup``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -38,26 +39,42 @@ DISTANCE = 2
 BUCKET = 64
 _PAIRS = list(combinations(range(4), 2))
 _STEP = 1 << 16
+#: Bytes of a text that are in words at a time.
+BLOCK = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _blocks(text: bytes) -> Iterator[bytes]:
+    """The text in blocks of some ``BLOCK`` bytes, cut before white space."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + BLOCK)
+        end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """Unsigned SimHash of UTF-8 text: bit i is set if it is in over half the shingle hashes."""
-    words = text.lower().split()  # on bytes: A-Z only, and \x20 \x09-\x0D only
-    if not words:
-        return 0
-    line = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(line, seed=42)
-    first = np.concatenate(([0], ends[:-shingle] + 1)).tolist()
-    last = ends[shingle - 1 :].tolist()
+    """Unsigned SimHash of UTF-8 text: bit i is set if it is in over half the shingle hashes. Texts are read block by block."""
+    ones, n, words = np.zeros(64, np.int64), 0, []
     hashed = xxhash.xxh64_intdigest
-    h = np.fromiter((hashed(line[a:b], seed=42) for a, b in zip(first, last, strict=True)), np.uint64, len(first))
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(h), _STEP):
-        bits = np.unpackbits(h[at : at + _STEP].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.uint64)[0])
+    for block in _blocks(text):
+        words += block.lower().split()  # on bytes: A-Z only, and \x20 \x09-\x0D only
+        if len(words) < shingle:
+            continue
+        line = b" ".join(words)
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        first = np.concatenate(([0], ends[:-shingle] + 1)).tolist()
+        last = ends[shingle - 1 :].tolist()
+        h = np.fromiter((hashed(line[a:b], seed=42) for a, b in zip(first, last, strict=True)), np.uint64, len(first))
+        for at in range(0, len(h), _STEP):
+            bits = np.unpackbits(h[at : at + _STEP].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones += bits.sum(axis=0, dtype=np.int64)
+        n += len(h)
+        words = words[len(words) - shingle + 1 :]  # the next block's shingles begin in these
+    if not n:
+        return hashed(b" ".join(words), seed=42) if words else 0
+    return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
 def _fingerprints(shingle: int):

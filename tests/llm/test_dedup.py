@@ -32,6 +32,25 @@ def test_fingerprint(text):
     assert simhash.fingerprint((text or "").encode()) == brute_fingerprint(text)
 
 
+@pytest.mark.parametrize("block", [1, 7, 40])
+def test_fingerprint_by_blocks(monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = np.random.default_rng(4)
+    for text in [*TEXTS, *(" ".join(rng.choice(["a", "bcd", "Éf", " \t", "ghijkl"], int(n))) for n in rng.integers(0, 60, 40))]:
+        assert simhash.fingerprint((text or "").encode()) == brute_fingerprint(text)
+
+
+def test_very_long_text_in_bounded_memory():
+    import tracemalloc
+
+    text = b"plain words, here and there. " * 700_000  # 20 MB
+    tracemalloc.start()
+    fp = simhash.fingerprint(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert fp == simhash.fingerprint(b"plain words, here and there. " * 70) and peak < 60e6
+
+
 def brute_components(fps):
     """fps: {doc: fingerprint}."""
     group = {d: {d} for d in fps}

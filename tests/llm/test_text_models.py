@@ -307,6 +307,52 @@ def test_disguises_come_back(data):
         assert not any(x for k, x in more.items() if k != kind)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abcdefgh", max_size=30), st.lists(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.text(alphabet="XY", max_size=3)), max_size=5), max_size=3))
+def test_tape_by_brute_force(text, passes):
+    """Spans and rewritten characters as a character-by-character tape has them."""
+    tape = pii.Tape(text)
+    chars = [(c, i, i + 1, False) for i, c in enumerate(text)]
+    for steps in passes:
+        edits, at = [], 0
+        for skip, size, new in steps:
+            a, b = at + skip, at + skip + size
+            if b > len(chars) or (a == b and not new) or a == b:
+                continue
+            edits.append((a, b, new))
+            at = b
+        tape.rewrite(edits)
+        out, at, mark = [], 0, False
+        for a, b, new in [*edits, (len(chars), len(chars), "")]:
+            for c, s, e, r in chars[at:a]:
+                out.append((c, s, e, r or mark))
+                mark = False
+            if new:
+                out += [(c, chars[a][1], chars[b - 1][2], True) for c in new]
+                mark = False
+            elif b > a:
+                mark = True
+            at = b
+        chars = out
+    assert tape.text == "".join(c for c, *_ in chars)
+    assert {i for i in tape.changed if i < len(chars)} == {i for i, c in enumerate(chars) if c[3]}
+    assert [tape.span(i, i) for i in range(len(chars))] == [(s, e) for _, s, e, _ in chars]
+
+
+def test_very_long_text_with_disguises():
+    """Memory goes with the edits, not with an entry for each character."""
+    import tracemalloc
+
+    filler = "plain words, here and there. " * 350_000  # 10 MB
+    text = filler + "write to jane[at]mail[dot]org " + filler
+    tracemalloc.start()
+    found, more = pii.detect(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert more["email"] == [(len(filler) + 9, len(filler) + 29)] and not any(found.values())
+    assert peak < 250e6
+
+
 def test_linear_time():
     for text in ("a" * 200_000, "1" * 200_000, "+1 " * 60_000, "a@" * 60_000, "one " * 20_000, "at " * 20_000, "1." * 60_000, "x" + " (" * 60_000):
         pii.detect(text)
