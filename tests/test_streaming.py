@@ -1,11 +1,13 @@
 """The schedule as a stream gives what its batch twin gives; the index sink can be run again."""
 
+import json
+import os
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from stanzaflow.streaming import schedule
+from stanzaflow.streaming import pages, schedule
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -54,3 +56,30 @@ def test_upsert(spark, tmp_path):
     assert len(kept) <= 2 * schedule.COMPACT + 4
     schedule.upsert_index(rows((1, 0, "z")), path)
     assert shown()[0] == (1, "z")
+
+
+def page_file(path, *pages):
+    lines = [json.dumps({"identifier": i, "name": t, "article_body": {"html": h}}) for i, t, h in pages]
+    path.write_text("\n".join([*lines, "{broken"]))
+
+
+def test_pages_as_a_stream(spark, tmp_path):
+    """Three files in three micro-batches; a later run takes only what is new, and a page that comes again replaces its row."""
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    source.mkdir()
+    book = '<div id="toc"></div><div class="mw-parser-output"><ul><li><a href="/wiki/A">x</a></li><li><b>Part</b></li></ul></div>'
+    page_file(source / "1.json", (1, "A", "<poem>a\nb</poem>"), (2, "Book", book))
+    page_file(source / "2.json", (3, "Hub", '<a title="d:Q1">w</a><div class="ws-summary"></div><a href="/wiki/Hub_(v)">v</a>'))
+    page_file(source / "3.json", (1, "A", "<p>gone</p>"))
+    for name, when in (("1", 1), ("2", 2), ("3", 3)):
+        os.utime(source / f"{name}.json", (when, when))
+    run = lambda: pages.run(pages.read_pages(spark, str(source)), out, checkpoint).awaitTermination(180)
+    shown = lambda: sorted((r["page_id"], r["type"], r["ord"]) for r in schedule.read_index(spark, f"{out}/index").collect())
+    run()
+    assert shown() == [(1, "OTHER", 2), (2, "POETIC_COLLECTION", 0), (3, "MULTI_VERSION_HUB", 1)]
+    assert [r["stanzas"] for r in spark.read.json(f"{out}/poems/batch=0").collect()] == [[["a", "b"]]]
+    work = spark.read.json(f"{out}/work").select("title", "has_context")
+    assert sorted(map(tuple, work.collect())) == [("A", True), ("Hub (v)", False)]
+    page_file(source / "4.json", (4, "D", "<poem>d</poem>"))
+    run()
+    assert shown() == [(1, "OTHER", 2), (2, "POETIC_COLLECTION", 0), (3, "MULTI_VERSION_HUB", 1), (4, "POEM", 3)]
