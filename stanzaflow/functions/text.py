@@ -74,10 +74,17 @@ def clean_author(c: Column) -> Column:
     out = name
     for pattern, new in steps:
         out = F.regexp_replace(out, pattern, new)
-    inner = F.regexp_extract(out, r"^\((.*?)\)$", 1)
-    out = collapse(F.when(out.rlike(r"^\((.*?)\)$"), strip(inner)).otherwise(out))
-    for key, canonical in reversed(AUTHOR_NAMES.items()):
-        out = F.when(F.lower(out) == key.lower(), F.lit(canonical)).otherwise(out)
+    known = F.create_map(*[F.lit(x) for key, canonical in AUTHOR_NAMES.items() for x in (key.lower(), canonical)])
+
+    def bare(c: Column) -> Column:
+        return collapse(F.when(c.rlike(r"^\((.*?)\)$"), strip(F.regexp_extract(c, r"^\((.*?)\)$", 1))).otherwise(c))
+
+    def canonical(c: Column) -> Column:
+        return F.coalesce(F.try_element_at(known, F.lower(c)), c)
+
+    # each step is bound to a name, or its expression would be copied wherever the next one uses it
+    for step in (bare, canonical):
+        out = F.element_at(F.transform(F.array(out), step), 1)
     return F.when(F.length(name) > 0, out).otherwise(name)
 
 

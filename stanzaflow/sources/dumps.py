@@ -20,6 +20,8 @@ TABLES = {
     "linktarget": [(0, "target_id", "bigint"), (1, "namespace", "int"), (2, "title", "string")],
     "redirect": [(0, "source", "bigint"), (1, "namespace", "int"), (2, "title", "string")],
 }
+#: Tuples that are handed on together.
+_TUPLES = 20_000
 _KEYS = {"page": "page_id", "linktarget": "target_id", "redirect": "source"}
 
 
@@ -67,8 +69,14 @@ def sql_tuples(line: str) -> Iterator[list[str | None]]:
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
+        rows: list[list[str | None]] = []
         for line in batch["value"]:  # a line holds a megabyte of tuples at most
-            yield pd.DataFrame({"c": list(sql_tuples(line))})
+            rows += sql_tuples(line)
+            if len(rows) >= _TUPLES:
+                yield pd.DataFrame({"c": rows})
+                rows = []
+        if rows:
+            yield pd.DataFrame({"c": rows})
 
 
 def read_sql(spark: SparkSession, path, table: str) -> DataFrame:
