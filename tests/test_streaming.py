@@ -36,7 +36,8 @@ def test_stream_equals_batch(spark, items, tmp_path):
     assert got == Counter(map(tuple, schedule.schedule_batch(items).select("page_id", "ord", "has_context").collect()))
 
 
-def test_upsert(spark, tmp_path):
+def test_upsert(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(schedule, "COMPACT", 3)
     path = str(tmp_path / "index")
     rows = lambda *x: spark.createDataFrame(list(x), "page_id long, ord long, title string")
     shown = lambda: sorted(map(tuple, schedule.read_index(spark, path).select("page_id", "title").collect()))
@@ -49,7 +50,7 @@ def test_upsert(spark, tmp_path):
     rows((1, 9, "broken")).write.parquet(f"{path}/delta-{2:012d}")
     (tmp_path / "index" / f"delta-{2:012d}" / "_SUCCESS").unlink()
     assert shown() == [(1, "b"), (2, "d"), (3, "e")]
-    for n in range(2, 2 + 3 * schedule.COMPACT):
+    for n in range(2, 12):
         schedule.upsert_index(rows((3, 0, f"e{n}"), (n + 100, 0, "new")), path, n)
         assert shown()[:3] == [(1, "b"), (2, "d"), (3, f"e{n}")] and len(shown()) == n + 2
     kept = [p.name for p in (tmp_path / "index").iterdir()]
