@@ -85,9 +85,9 @@ def test_by_brute_force(spark, sf_dir):
     assert model.idf == pytest.approx(idf, rel=1e-5)
 
     def nearest(c):
-        w = {b: np.log1p(n) * idf[b] for b, n in c.items()}
-        norm = np.sqrt(sum(x * x for x in w.values()))
-        cosines = [sum(x * float(centre[b]) for b, x in w.items()) / norm for centre in model.centroids]
+        at = np.array(list(c))
+        w = np.array([np.log1p(n) * idf[b] for b, n in c.items()])
+        cosines = [float(np.dot(w, centre[at].astype(float)) / np.sqrt(np.dot(w, w))) for centre in model.centroids]
         best = int(np.argmax(cosines))
         return model.langs[model.lang_of[best]], cosines[best]
 
