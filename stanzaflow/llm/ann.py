@@ -139,7 +139,7 @@ class Index:
                 full = (met >= enough) | (rounds[left] == last)
                 found |= {i: maps[x] for x, i in enumerate(left.tolist()) if full[x]}
                 high[left[full]], low[left[~full]] = rounds[left[full]], rounds[left[~full]]
-                left = left[(high[left] - low[left] > 1) & ~(full & (met <= 2 * enough))]
+                left = left[(high[left] - low[left] > 1) & ~(full & (met <= 3 * enough))]
                 a, b = low[left], high[left]
                 rounds[left] = np.clip(np.where(a < 0, b - stride, np.where(b == last, a + stride, (a + b) // 2)), a + 1, b - 1)
             usual = int(np.median(high))
